@@ -3,16 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.store import table
 
+#: Where public vocabulary files lie; read on the driver only.
+TOKENIZERS = "/opt/tokenizers"
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece tokens of every document."""
+    from tidemark.llm.wordpiece import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain statistics and the verdict of rules and perplexity bands."""
+    from tidemark.llm.quality import judge
+
+    out = judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", *(F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl")))
+
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and disguised personal data."""
     from tidemark.llm.pii import find_pii
 
     return find_pii(table(spark, sf_dir, "documents")).drop("base_spans")
 
 
-QUERIES = {"op7_pii": op7_pii}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as count and digest, and whether they decode to it."""
+    from tidemark.llm.sentencepieces import encode
+
+    return encode(table(spark, sf_dir, "documents"), PIECE_MODEL).drop("ids")
+
+
+QUERIES = {"op2_token_counts": op2_token_counts, "op6_quality": op6_quality, "op7_pii": op7_pii, "op10_sentencepiece": op10_sentencepiece}
 
 ORACLE_SQL: dict[str, str] = {}

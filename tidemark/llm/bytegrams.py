@@ -1,9 +1,9 @@
 """Byte n-gram counts gathered with Spark, and the back-off lookups that language models on them share.
 
-A text is read as its words (lower-cased A-Z) joined by one space and closed by an end symbol, after ``ORDER`` start
-symbols. A *gram* packs ``ORDER`` context bytes and the next byte into the low 40 bits of a key, and a 16-bit tag (of a
-language, say) above them. Lower-order grams are the suffixes of the top ones, so only top grams are ever counted from
-texts.
+A text is read as its words (lower-cased A-Z) joined by one space and closed by an end symbol, after ``order`` start
+symbols. A *gram* packs ``order`` context bytes and the next byte into the low ``8 * (order + 1)`` bits of a 64-bit key;
+what is left above them may hold a 16-bit tag (of a language, say). Lower-order grams are the suffixes of the top ones,
+so only top grams are ever counted from texts.
 
 Models are built from at most ``MAX_ENTRIES`` top grams at a time, which bounds what is broadcast: a larger table is cut
 into shards by the last two context bytes, and each shard scores the positions that fall into it; a text's score is the
@@ -22,28 +22,27 @@ from pyspark.sql import types as T
 
 from tidemark.llm.textkit import IS_SPACE, LOWER, Chunk, HashIndex, KeyCounter, map_text, sum_by_key
 
-ORDER = 4
 SYMBOLS = 257
 MAX_ENTRIES = 6_000_000
-_TAG = np.uint64(0xFFFF << 40)
 
 
-def level_mask(j: int) -> np.uint64:
-    return np.uint64((1 << (8 * (j + 1))) - 1) | _TAG
+def level_mask(j: int, order: int) -> np.uint64:
+    """Keeps the tag, ``j`` context bytes and the symbol of a top gram's key."""
+    return np.uint64((1 << 64) - (1 << 8 * (order + 1)) | (1 << (8 * (j + 1))) - 1)
 
 
 class Stream:
     """The symbols of a chunk's texts: ``keys`` of their top grams and ``off``, each text's first position (none is empty)."""
 
-    def __init__(self, chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray], tags: np.ndarray | None = None):
+    def __init__(self, chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray], order: int, tags: np.ndarray | None = None):
         starts, ends, doc = words
         size = ends - starts
         n_words = np.bincount(doc, minlength=chunk.n)
         letters = np.bincount(doc, weights=size, minlength=chunk.n).astype(np.int64)
         self.off = np.concatenate(([0], np.cumsum(letters + np.maximum(n_words, 1))))
-        pads = ORDER * np.arange(1, chunk.n + 1)
-        out = np.full(self.off[-1] + ORDER * chunk.n, 0x20, np.uint8)
-        for k in range(1, ORDER + 1):
+        pads = order * np.arange(1, chunk.n + 1)
+        out = np.full(self.off[-1] + order * chunk.n, 0x20, np.uint8)
+        for k in range(1, order + 1):
             out[self.off[:-1] + pads - k] = 0
         end = np.cumsum(size + 1)
         first = np.concatenate(([0], np.cumsum(n_words)))[:-1]
@@ -52,14 +51,14 @@ class Stream:
         solid = np.flatnonzero(~IS_SPACE[chunk.buf])
         out[solid + np.repeat(begin - starts, size)] = LOWER[chunk.buf[solid]]
         out[self.off[1:] + pads - 1] = 0x0A
-        keys = out[ORDER:].astype(np.uint64)
-        for k in range(1, ORDER + 1):
-            keys |= out[ORDER - k : len(out) - k].astype(np.uint64) << np.uint64(8 * k)
+        keys = out[order:].astype(np.uint64)
+        for k in range(1, order + 1):
+            keys |= out[order - k : len(out) - k].astype(np.uint64) << np.uint64(8 * k)
         length = np.diff(self.off)
-        keep = np.arange(self.off[-1]) + np.repeat(ORDER * np.arange(chunk.n), length)
+        keep = np.arange(self.off[-1]) + np.repeat(order * np.arange(chunk.n), length)
         self.keys = keys[keep]
         if tags is not None:
-            self.keys |= np.repeat(tags.astype(np.uint64) << np.uint64(40), length)
+            self.keys |= np.repeat(tags.astype(np.uint64) << np.uint64(8 * (order + 1)), length)
 
     def select(self, docs: np.ndarray) -> np.ndarray:
         """Keys of the flagged texts."""
@@ -77,16 +76,17 @@ COUNT_SCHEMA = T.StructType([T.StructField("kind", T.IntegerType()), T.StructFie
 class Levels:
     """Sorted grams and counts by number of context bytes; ``continuation`` counts distinct extensions below the top."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, shared: tuple[np.ndarray, np.ndarray] | None, continuation: bool):
-        self.keys, self.counts = [None] * (ORDER + 1), [None] * (ORDER + 1)
-        for j in range(ORDER, -1, -1):
-            if j == ORDER:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, shared: tuple[np.ndarray, np.ndarray] | None, continuation: bool):
+        self.order = order
+        self.keys, self.counts = [None] * (order + 1), [None] * (order + 1)
+        for j in range(order, -1, -1):
+            if j == order:
                 got = sum_by_key(keys, counts)
             elif j == 2 and shared is not None:
                 got = shared
             else:
                 above = self.keys[j + 1]
-                got = sum_by_key(above & level_mask(j), np.ones(len(above), np.int64) if continuation else self.counts[j + 1])
+                got = sum_by_key(above & level_mask(j, order), np.ones(len(above), np.int64) if continuation else self.counts[j + 1])
             self.keys[j], self.counts[j] = got
 
 
@@ -110,17 +110,17 @@ def rows_of(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.searchsorted(sorted_keys, keys)
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+def shard_of(keys: np.ndarray, shards: int, order: int) -> np.ndarray:
     """By tag and the last two context bytes."""
-    x = (keys >> np.uint64(8)) & np.uint64(0xFFFF) | (keys & _TAG)
+    x = (keys >> np.uint64(8)) & np.uint64(0xFFFF) | (keys & level_mask(-1, order))
     return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
-def _shard_column(shards: int) -> Callable:
+def _shard_column(shards: int, order: int) -> Callable:
     def f(batches):
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shard_of(keys, shards).astype(np.int32))], names=["key", "n", "shard"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shard_of(keys, shards, order).astype(np.int32))], names=["key", "n", "shard"])
 
     return f
 
@@ -131,7 +131,7 @@ def _collected(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys, n
 
 
-def models(grams: DataFrame, build: Callable, continuation: bool, max_entries: int = MAX_ENTRIES) -> list:
+def models(grams: DataFrame, build: Callable, order: int, continuation: bool, max_entries: int = MAX_ENTRIES) -> list:
     """``build(levels, shard_levels)`` for each shard of ``grams`` (key, n), one at a time through the driver.
 
     ``grams`` must be materialised. The number of shards follows its size, so each model is bounded.
@@ -139,14 +139,14 @@ def models(grams: DataFrame, build: Callable, continuation: bool, max_entries: i
     entries = grams.count()
     shards = max(1, -(-entries // max_entries))
     if shards == 1:
-        return [build(Levels(*_collected(grams), None, continuation))]
-    mask = int(level_mask(2).view(np.int64))
+        return [build(Levels(*_collected(grams), order, None, continuation))]
+    mask = int(level_mask(2, order).view(np.int64))
     if continuation:
-        third = grams.select(F.col("key").bitwiseAND(F.lit(int(level_mask(3).view(np.int64)))).alias("key")).distinct()
+        third = grams.select(F.col("key").bitwiseAND(F.lit(int(level_mask(3, order).view(np.int64)))).alias("key")).distinct()
         low = third.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.count("*").alias("n"))
     else:
         low = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
     shared = sum_by_key(*_collected(low))
-    cut = grams.select("key", "n").mapInArrow(_shard_column(shards), T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shard", T.IntegerType())]))
-    one = lambda s: Levels(*_collected(cut.filter(F.col("shard") == s).select("key", "n")), shared, continuation)
+    cut = grams.select("key", "n").mapInArrow(_shard_column(shards, order), T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shard", T.IntegerType())]))
+    one = lambda s: Levels(*_collected(cut.filter(F.col("shard") == s).select("key", "n")), order, shared, continuation)
     return build.over_shards(one, shards)

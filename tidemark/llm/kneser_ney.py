@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.bytegrams import ORDER, SYMBOLS, Levels, Table, level_mask, rows_of
+from tidemark.llm.bytegrams import SYMBOLS, Levels, Table, level_mask, rows_of
 
 
 def tally(counts: np.ndarray) -> np.ndarray:
@@ -22,9 +22,10 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 class KneserNey:
     def __init__(self, levels: Levels, cuts: list[np.ndarray]):
+        order = self.order = levels.order
         self.grams, self.logp, self.contexts, self.back = [], [], [], []
         below_keys = below_p = None
-        for j in range(ORDER + 1):
+        for j in range(order + 1):
             keys, c = levels.keys[j], levels.counts[j]
             d = np.concatenate(([0.0], cuts[j]))
             kind = np.minimum(c, 3)
@@ -33,7 +34,7 @@ class KneserNey:
             total = np.add.reduceat(c, first) if len(first) else np.empty(0)
             gamma = (np.add.reduceat(d[kind], first) if len(first) else np.empty(0)) / total
             of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(ctx))))
-            lower = 1.0 / SYMBOLS if j == 0 else below_p[rows_of(below_keys, keys & level_mask(j - 1))]
+            lower = 1.0 / SYMBOLS if j == 0 else below_p[rows_of(below_keys, keys & level_mask(j - 1, order))]
             p = (c - d[kind]) / total[of] + gamma[of] * lower
             self.grams.append(Table(keys))
             self.logp.append(np.log10(p).astype(np.float32))
@@ -43,14 +44,14 @@ class KneserNey:
 
     def score(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each top gram's symbol given its context."""
-        row = self.grams[ORDER].find(keys)
-        out = np.where(row >= 0, self.logp[ORDER][row], 0).astype(np.float64)
+        row = self.grams[self.order].find(keys)
+        out = np.where(row >= 0, self.logp[self.order][row], 0).astype(np.float64)
         todo = np.flatnonzero(row < 0)
-        for j in range(ORDER, -1, -1):
+        for j in range(self.order, -1, -1):
             if not len(todo):
                 break
-            k = keys[todo] & level_mask(j)
-            if j < ORDER:
+            k = keys[todo] & level_mask(j, self.order)
+            if j < self.order:
                 row = self.grams[j].find(k)
                 hit = row >= 0
                 out[todo[hit]] += self.logp[j][row[hit]]
@@ -68,10 +69,12 @@ class Builder:
         return KneserNey(levels, [discounts(tally(c)) for c in levels.counts])
 
     def over_shards(self, load, shards: int) -> list[KneserNey]:
-        counts = np.zeros((ORDER + 1, 4), np.int64)
+        counts = None
         for s in range(shards):
             levels = load(s)
-            for j in range(ORDER + 1):
+            if counts is None:
+                counts = np.zeros((levels.order + 1, 4), np.int64)
+            for j in range(levels.order + 1):
                 if j > 2:
                     counts[j] += tally(levels.counts[j])
                 elif s == 0:

@@ -26,6 +26,8 @@ from tidemark.llm.kneser_ney import Builder
 from tidemark.llm.store import cut
 from tidemark.llm.textkit import Chunk, KeyCounter, fold_text, hash_spans, map_text, mix, sequence_hash
 
+#: Context bytes of the perplexity model.
+ORDER = 4
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: Texts with more symbols a hundred words than this teach neither models nor bands.
@@ -99,11 +101,11 @@ def perplexity_models(df: DataFrame, text_col: str = "text", lang_col: str = "la
 
     def step(counter: KeyCounter, chunk: Chunk, rows: pa.RecordBatch):
         words = chunk.words()
-        counter.add(Stream(chunk, words, _tags(rows.column(0))).select(_models_on(statistics(chunk, words))))
+        counter.add(Stream(chunk, words, ORDER, _tags(rows.column(0))).select(_models_on(statistics(chunk, words))))
         return emit(counter) if counter.full() else []
 
     counted = fold_text(df, text_col, KeyCounter, step, emit, COUNT_SCHEMA, [lang_col])
-    return models(cut(counted.groupBy("key").agg(F.sum("n").alias("n"))), Builder(), continuation=True)
+    return models(cut(counted.groupBy("key").agg(F.sum("n").alias("n"))), Builder(), ORDER, continuation=True)
 
 
 def score_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
@@ -114,12 +116,12 @@ def score_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
         words = chunk.words()
         out = {f"q_{k}": v for k, v in statistics(chunk, words).items()}
-        stream = Stream(chunk, words, _tags(rows.column(len(keep))))
+        stream = Stream(chunk, words, ORDER, _tags(rows.column(len(keep))))
         score = np.zeros(len(stream.keys))
         if len(shards) == 1:
             score = shards[0].value.score(stream.keys)
         else:
-            own = shard_of(stream.keys, len(shards))
+            own = shard_of(stream.keys, len(shards), ORDER)
             for s, model in enumerate(shards):
                 score[own == s] = model.value.score(stream.keys[own == s])
         length = np.diff(stream.off)

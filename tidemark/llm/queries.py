@@ -19,6 +19,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's log probability by prediction by partial matching, beside an add-one unigram model's."""
+    from tidemark.llm.ppm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives with revisits resolved, and read back."""
+    from tidemark.llm.store import fresh_path
+    from tidemark.llm.warc import read_archive, restore, write_archive
+
+    path = fresh_path(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return restore(read_archive(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain statistics and the verdict of rules and perplexity bands."""
     from tidemark.llm.quality import judge
@@ -41,6 +58,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), PIECE_MODEL).drop("ids")
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op6_quality": op6_quality, "op7_pii": op7_pii, "op10_sentencepiece": op10_sentencepiece}
+QUERIES = {"op2_token_counts": op2_token_counts, "op4_ppm": op4_ppm, "op5_warc": op5_warc, "op6_quality": op6_quality, "op7_pii": op7_pii, "op10_sentencepiece": op10_sentencepiece}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS winner FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN winner END AS refers_to
+        FROM w""",
+}

@@ -242,7 +242,7 @@ def sum_by_key(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.n
 class KeyCounter:
     """Counts 64-bit keys, merging as it grows; memory follows the number of distinct keys of a task, up to ``limit``."""
 
-    def __init__(self, limit: int = 4_000_000):
+    def __init__(self, limit: int = 1_500_000):
         self.parts, self.size, self.limit = [], 0, limit
 
     def add(self, keys: np.ndarray) -> None:

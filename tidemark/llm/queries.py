@@ -12,6 +12,13 @@ TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen, with their copies, for three fifths of all tokens mixed to the stated weights."""
+    from tidemark.llm.mixing import mix_documents
+
+    return mix_documents(table(spark, sf_dir, "documents"), fraction=0.6, max_epochs=2)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece tokens of every document."""
     from tidemark.llm.wordpiece import token_counts
@@ -51,6 +58,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents")).drop("base_spans")
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by family first."""
+    from tidemark.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document as count and digest, and whether they decode to it."""
     from tidemark.llm.sentencepieces import encode
@@ -58,9 +72,34 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), PIECE_MODEL).drop("ids")
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op4_ppm": op4_ppm, "op5_warc": op5_warc, "op6_quality": op6_quality, "op7_pii": op7_pii, "op10_sentencepiece": op10_sentencepiece}
+QUERIES = {"op1_mixing": op1_mixing, "op2_token_counts": op2_token_counts, "op4_ppm": op4_ppm, "op5_warc": op5_warc, "op6_quality": op6_quality, "op7_pii": op7_pii, "op8_langid": op8_langid, "op10_sentencepiece": op10_sentencepiece}
+
+def _split_sql(source: str, parent: str, name: str) -> str:
+    """The DuckDB form of one level's split."""
+    part = f"PARTITION BY {parent}" if parent else ""
+    return f"""
+        SELECT *, CASE WHEN fits THEN cap ELSE (budget - sum(CASE WHEN fits THEN cap ELSE 0 END) OVER ({part})) / sum(CASE WHEN fits THEN 0 ELSE weight END) OVER ({part}) * weight END AS share
+        FROM (SELECT *, coalesce(sum(cap) OVER ({part} ORDER BY cap / weight, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                     + cap / weight * (sum(weight) OVER ({part}) - coalesce(sum(weight) OVER ({part} ORDER BY cap / weight, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) <= budget AS fits
+              FROM ({source}))"""
+
+
+_MIXING_SQL = f"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, try_cast(regexp_extract(source, '([0-9]+)$', 1) AS int) AS number,
+                      len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents),
+    docs AS (SELECT doc_id, CASE WHEN number < 8 THEN 'web' WHEN number < 14 THEN 'books' WHEN number IS NOT NULL THEN 'forums' ELSE 'other' END AS domain, lang, source, n_tokens FROM d),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens)::DOUBLE * 2 AS cap, 1.0::DOUBLE AS weight FROM docs GROUP BY ALL),
+    langs AS (SELECT domain, lang, sum(cap) AS cap, (CASE WHEN domain = 'other' THEN 1 WHEN lang = 'en' THEN 4 WHEN lang IN ('de', 'fr', 'es') THEN 2 ELSE 1 END)::DOUBLE AS weight FROM leaves GROUP BY ALL),
+    domains AS (SELECT domain, sum(cap) AS cap, (CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'forums' THEN 2 ELSE 1 END)::DOUBLE AS weight FROM langs GROUP BY ALL),
+    a AS ({_split_sql("SELECT *, (SELECT floor(sum(n_tokens) * 0.6::DOUBLE) FROM docs) AS budget FROM domains", "", "domain")}),
+    b AS ({_split_sql("SELECT langs.*, a.share AS budget FROM langs JOIN a USING (domain)", "domain", "lang")}),
+    c AS ({_split_sql("SELECT leaves.*, b.share AS budget FROM leaves JOIN b USING (domain, lang)", "domain, lang", "source")}),
+    r AS (SELECT domain, lang, source, floor(share + 1e-6)::BIGINT // tokens AS passes, floor(share + 1e-6)::BIGINT % tokens AS rest FROM c WHERE tokens > 0),
+    o AS (SELECT docs.*, passes, rest, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || passes || ':' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM docs JOIN r USING (domain, lang, source))
+    SELECT doc_id, domain, lang, source, n_tokens, passes + (upto <= rest)::BIGINT AS copies FROM o WHERE passes + (upto <= rest)::BIGINT > 0"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": _MIXING_SQL,
     "op5_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS winner FROM p)

@@ -26,6 +26,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by 5-word shingles."""
+    from tidemark.llm.ngramjoin import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's log probability by prediction by partial matching, beside an add-one unigram model's."""
     from tidemark.llm.ppm import score_documents
@@ -65,6 +72,13 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth one."""
+    from tidemark.llm.annpartition import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document as count and digest, and whether they decode to it."""
     from tidemark.llm.sentencepieces import encode
@@ -72,7 +86,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), PIECE_MODEL).drop("ids")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_token_counts": op2_token_counts, "op4_ppm": op4_ppm, "op5_warc": op5_warc, "op6_quality": op6_quality, "op7_pii": op7_pii, "op8_langid": op8_langid, "op10_sentencepiece": op10_sentencepiece}
+QUERIES = {"op1_mixing": op1_mixing, "op2_token_counts": op2_token_counts, "op3_ngram_join": op3_ngram_join, "op4_ppm": op4_ppm, "op5_warc": op5_warc, "op6_quality": op6_quality, "op7_pii": op7_pii, "op8_langid": op8_langid, "op9_ann": op9_ann, "op10_sentencepiece": op10_sentencepiece}
 
 def _split_sql(source: str, parent: str, name: str) -> str:
     """The DuckDB form of one level's split."""
@@ -100,6 +114,15 @@ _MIXING_SQL = f"""
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _MIXING_SQL,
+    "op3_ngram_join": """
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        g AS (SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS i FROM w)),
+        n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+        o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+        link AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 80 * (p.size + q.size - shared)),
+        reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+        SELECT w.doc_id, coalesce(size, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)""",
     "op5_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS winner FROM p)

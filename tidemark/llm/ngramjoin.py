@@ -30,10 +30,10 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.components import components
 from tidemark.llm.store import cut
-from tidemark.llm.textkit import LOWER, Chunk, fold_text, hash_spans, map_text, mix, shingles
+from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, hash_spans, mix, shingles
 
 SKETCH_BITS = 20
-_BLOCK_BITS = 16
+_BLOCKS = 16
 PERCENT = 80
 
 
@@ -47,17 +47,12 @@ def _least(n: np.ndarray | int, percent: int):
     return -(-(n * percent) // 100)
 
 
-def sketch(df: DataFrame, text_col: str, width: int) -> np.ndarray:
-    """Counts of shingles by the top bits of their hash; 4 MB whatever the input."""
-    size, block = 1 << SKETCH_BITS, 1 << _BLOCK_BITS
+def _packed(blocks: dict[int, np.ndarray]) -> list[tuple[int, bytes]]:
+    return [(b, zlib.compress(v.tobytes(), 1)) for b, v in blocks.items() if v.any()]
 
-    def step(state: np.ndarray, chunk: Chunk, rows: pa.RecordBatch) -> list:
-        h, _ = _chunk_shingles(chunk, width)
-        state += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        return []
 
-    def finish(state: np.ndarray) -> Iterator[pa.RecordBatch]:
-        yield _packed({b: state[b * block : (b + 1) * block] for b in range(size // block) if state[b * block : (b + 1) * block].any()})
+def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Blocks (``block``, ``counts``) of all tasks added up; the number of blocks is fixed."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -65,60 +60,138 @@ def sketch(df: DataFrame, text_col: str, width: int) -> np.ndarray:
             for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 part = np.frombuffer(zlib.decompress(data), np.int64)
                 total[b] = total[b] + part if b in total else part
-        yield _packed(total)
+        rows = _packed(total)
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())], names=["block", "counts"])
+
+    got = parts.select("block", "counts").repartition(_BLOCKS, "block").mapInArrow(add, parts.select("block", "counts").schema).collect()
+    return {b: np.frombuffer(zlib.decompress(data), np.int64) for b, data in got}
+
+
+_LIGHT = T.StructType([T.StructField("id", T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")), T.StructField("block", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+
 
-    schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-    parts = fold_text(df, text_col, lambda: np.zeros(size, np.int64), step, finish, schema, [])
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, np.ndarray]:
+    """(``id``, set size ``n``, set digest ``f1``, ``f2``) of every document, and the sketch: one pass over the texts.
+
+    The sketch counts shingles by the top bits of their hash; it takes 4 MB whatever the input.
+    """
+    size, block = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // _BLOCKS
+
+    def rows_of(ids, n, f1, f2, block_ids, counts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((ids, n, f1, f2, block_ids, counts), (pa.int64(),) * 4 + (pa.int32(), pa.binary()), strict=True)], names=_LIGHT.names)
+
+    def step(state: np.ndarray, chunk: Chunk, rows: pa.RecordBatch) -> list:
+        h, doc = _chunk_shingles(chunk, width)
+        state += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+        cuts = np.searchsorted(doc, np.arange(chunk.n + 1))
+        n, f1, f2 = np.zeros(chunk.n, np.int64), np.zeros(chunk.n, np.uint64), np.zeros(chunk.n, np.uint64)
+        for d in range(chunk.n):
+            if cuts[d] < cuts[d + 1]:
+                n[d], f1[d], f2[d] = _digest(np.unique(h[cuts[d] : cuts[d + 1]]))
+        none = [None] * chunk.n
+        return [rows_of(rows.column(0), n, f1.view(np.int64), f2.view(np.int64), none, none)]
+
+    def finish(state: np.ndarray) -> Iterator[pa.RecordBatch]:
+        got = _packed({b: state[b * block : (b + 1) * block] for b in range(_BLOCKS)})
+        none = [None] * len(got)
+        yield rows_of(none, none, none, none, [b for b, _ in got], [c for _, c in got])
+
+    source = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("__body"))
+    both = cut(fold_text(source, "__body", lambda: np.zeros(size, np.int64), step, finish, _LIGHT, ["id"]))
     out = np.zeros(size, np.int64)
-    for b, data in parts.repartition(size // block, "block").mapInArrow(add, schema).collect():
-        out[b * block : (b + 1) * block] = np.frombuffer(zlib.decompress(data), np.int64)
-    return np.minimum(out, (1 << 24) - 1).astype(np.uint32)
+    for b, counts in _summed(both.filter("block IS NOT NULL")).items():
+        out[b * block : (b + 1) * block] = counts
+    return both.filter("block IS NULL").select("id", "n", "f1", "f2"), np.minimum(out, (1 << 24) - 1).astype(np.uint32)
 
 
-def _packed(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in blocks.values()], pa.binary())], names=["block", "counts"])
+def _digest(u: np.ndarray) -> tuple[int, np.uint64, np.uint64]:
+    """Size and 128-bit digest of a set of distinct hashes."""
+    return len(u), mix(u * np.uint64(0xD6E8FEB86659FD93)).sum(), mix(u ^ np.uint64(0xA0761D6478BD642F)).sum()
 
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """``id``, set size ``n``, set digest ``f1``, ``f2`` and ``prefix``: the hashes of the set's entries that are dealt out."""
-    counts = df.sparkSession.sparkContext.broadcast(sketch(df, text_col, width))
+def prefix_entries(df: DataFrame, counts: np.ndarray, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """Matrix entries (``column``, ``id``) that must be dealt out; a task gives equal sets once."""
+    table = df.sparkSession.sparkContext.broadcast(counts)
 
-    def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
+    def step(seen: set, chunk: Chunk, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h, doc = _chunk_shingles(chunk, width)
         cuts = np.searchsorted(doc, np.arange(chunk.n + 1))
-        size, f1, f2, prefix = np.zeros(chunk.n, np.int64), np.zeros(chunk.n, np.uint64), np.zeros(chunk.n, np.uint64), []
-        table = counts.value
-        ends = np.zeros(chunk.n + 1, np.int64)
+        take, owner = [], []
         for d in range(chunk.n):
             u = h[cuts[d] : cuts[d + 1]]
-            if len(u):
-                u = np.unique(u)
-                n = size[d] = len(u)
-                f1[d], f2[d] = mix(u * np.uint64(0xD6E8FEB86659FD93)).sum(), mix(u ^ np.uint64(0xA0761D6478BD642F)).sum()
-                key = table[(u >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(40) | u >> np.uint64(24)
-                p = n - _least(n, percent) + 1
-                # Ties at the edge are all taken, so the order need not be strict.
-                u = u[key <= np.partition(key, p - 1)[p - 1]]
-                prefix.append(u)
-            ends[d + 1] = ends[d] + len(u)
-        flat = np.concatenate(prefix) if prefix else np.empty(0, np.uint64)
-        return {"n": size, "f1": f1.view(np.int64), "f2": f2.view(np.int64), "prefix": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))}
-
-    fields = [*(T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")), T.StructField("prefix", T.ArrayType(T.LongType()))]
+            if not len(u):
+                continue
+            u = np.unique(u)
+            n, f1, f2 = _digest(u)
+            if (n, f1, f2) in seen:
+                continue
+            seen.add((n, f1, f2))
+            key = table.value[(u >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(40) | u >> np.uint64(24)
+            p = n - _least(n, percent) + 1
+            # Ties at the edge are all taken, so the order need not be strict.
+            u = u[key <= np.partition(key, p - 1)[p - 1]]
+            take.append(u)
+            owner.append(np.full(len(u), d))
+        if take:
+            column = pa.array(np.concatenate(take).view(np.int64))
+            yield pa.RecordBatch.from_arrays([column, rows.column(0).take(pa.array(np.concatenate(owner)))], names=["column", "id"])
+
     source = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("__body"))
-    return map_text(source, "__body", step, fields, ["id"])
+    return fold_text(source, "__body", set, step, lambda seen: iter(()), T.StructType([T.StructField("column", T.LongType()), T.StructField("id", T.LongType())]), ["id"])
+
+
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of id hashes with sixteen places an id, 4 MB at most; it may say yes too often, never no."""
+    size = min(1 << 25, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
+    block = size // _BLOCKS
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = np.zeros(size, bool)
+        for b in batches:
+            state[_place(b.column(0), size)] = True
+        got = [(k, zlib.compress(np.packbits(state[k * block : (k + 1) * block]).tobytes().ljust(block // 8 + (-(block // 8)) % 8, b"\0"), 1)) for k in range(_BLOCKS) if state[k * block : (k + 1) * block].any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int32()), pa.array([c for _, c in got], pa.binary())], names=["block", "counts"])
+
+    parts = ids.select("id").mapInArrow(mark, T.StructType([T.StructField("block", T.IntegerType()), T.StructField("counts", T.BinaryType())]))
+    out = np.zeros(size, bool)
+
+    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(data), np.uint8)
+                total[b] = total[b] | part if b in total else part
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in total.values()], pa.binary())], names=["block", "counts"])
+
+    for b, data in parts.repartition(_BLOCKS, "block").mapInArrow(either, parts.schema).collect():
+        out[b * block : (b + 1) * block] = np.unpackbits(np.frombuffer(zlib.decompress(data), np.uint8))[:block].astype(bool)
+    return np.packbits(out)
+
+
+def _place(ids: pa.Array, size: int) -> np.ndarray:
+    return (mix(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).copy()) & np.uint64(size - 1)).astype(np.int64)
 
 
 def whole_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id`` and ``entries`` (sorted hashes, as bytes) of the documents in ``ids``."""
+    """``id`` and ``entries`` (sorted hashes, as bytes) of the documents in ``ids``, and of few others.
 
-    def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
-        h, doc = _chunk_shingles(chunk, width)
-        cuts = np.searchsorted(doc, np.arange(chunk.n + 1))
-        return {"entries": [np.unique(h[a:z]).tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)]}
+    The bitmap spares a shuffle of texts: each task skips nearly all documents that aren't asked for, and sets of
+    others find no partner in the joins.
+    """
+    bits = df.sparkSession.sparkContext.broadcast(_bits(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = _place(batch.column(0), 8 * len(bits.value))
+            batch = batch.filter(pa.array((bits.value[place >> 3] >> (7 - (place & 7)) & 1).astype(bool)))
+            for i, j, chunk in chunks(batch.column(1)):
+                h, doc = _chunk_shingles(chunk, width)
+                cuts = np.searchsorted(doc, np.arange(chunk.n + 1))
+                sets = pa.array([np.unique(h[a:z]).tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], names=["id", "entries"])
 
-    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("__body")).join(ids, "id", "left_semi")
-    return map_text(source, "__body", step, [T.StructField("entries", T.BinaryType())], ["id"])
+    source = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("__body"))
+    return source.mapInArrow(run, T.StructType([T.StructField("id", T.LongType()), T.StructField("entries", T.BinaryType())]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -149,55 +222,68 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(df: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``id_col``, ``n_shingles`` and ``component_id``: the smallest id that links reach, the document's own included."""
+    sets, counts = shingle_sets(df, id_col, text_col, width)
+    digest = ["f1", "f2", "n"]
+    classes = cut(sets.filter("n > 0").groupBy(*digest).agg(F.min("id").alias("class"), F.max("id").alias("last")))
+    copies = cut(sets.join(classes.filter("class < last"), digest).filter("id <> class").select("id", "class"))
+    sizes = classes.select(F.col("class").alias("id"), "n")
+    entries = prefix_entries(df, counts, id_col, text_col, width, percent)
+    labels = components(links(df, entries, copies, sizes, id_col, text_col, width, percent))
+    named = classes.join(labels.withColumnRenamed("id", "class"), "class", "left").select(*digest, F.coalesce("label", "class").alias("component"))
+    out = sets.join(named, digest, "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+
+
+def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """Links (a, b) between class representatives that connect all that the similarity connects.
 
-    ``classes`` has (id, n, prefix), one row for each distinct set.
+    ``copies`` maps ids to the representative of their equal set; ``sizes`` has every representative's set size.
     """
-    entries = classes.select("id", "n", F.explode("prefix").alias("column"))
     w = Window.partitionBy("column")
-    paired = entries.withColumn("pivot", F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).over(w)).withColumn("many", F.max("id").over(w) > F.min("id").over(w))
-    shared = cut(paired.filter("many").select("column", "id", "n", F.col("pivot.id").alias("p"), F.col("pivot.n").alias("pn")))
-    sets = cut(whole_sets(df, shared.select("id").distinct(), id_col, text_col, width).dropDuplicates(["id"]))
-
-    tried = cut(_ordered(shared.filter((F.col("id") != F.col("p")) & _near("n", "pn", percent)).select(F.col("id").alias("a"), F.col("p").alias("b"))))
-    found = cut(verified(tried, sets, percent))
-    shared = shared.select("column", "id", "n")
-    for last in (False, True):
-        labels = components(found)
-        named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        named = named.withColumn("open", F.min("label").over(w) < F.max("label").over(w))
-        if last:
-            # The product between components, by column; overlap counts decide which pairs are worth verifying.
-            # Few columns are open by now, each with the rows that its pivots did not connect.
-            named = cut(named.filter("open").drop("open"))
-            other = named.select("column", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-            product = named.withColumnRenamed("id", "a").join(other, "column").filter((F.col("label") < F.col("bl")) & _near("n", "bn", percent))
-            counted = product.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("overlap"), F.first(F.col("n") + F.col("bn")).alias("sizes"), F.first(F.greatest("n", "bn")).alias("larger"))
-            need = F.ceil(F.col("sizes") * percent / F.lit(100.0 + percent) - 1e-9)
-            pairs = counted.filter(F.col("overlap") + F.ceil(F.col("larger") * percent / 100.0 - 1e-9) - 1 >= need)
+    many = F.min("id").over(w) < F.max("id").over(w)
+    shared = entries.withColumn("many", many).filter("many").select("column", "id")
+    # Copies stand for their class; columns that only one class is left in are done.
+    shared = shared.join(copies, "id", "left").select("column", F.coalesce("class", "id").alias("id")).distinct().join(sizes, "id")
+    shared = cut(shared.withColumn("many", many).filter("many").select("column", "id", "n"))
+
+    found = tried = None
+    for turn in ("first", "second", "product"):
+        if found is None:
+            named = shared.withColumn("label", F.col("id"))
+        else:
+            labels = components(found)
+            named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            # A column within one component is done for good.
+            named = cut(named.withColumn("open", F.min("label").over(w) < F.max("label").over(w)).filter("open").drop("open"))
+            shared = named.select("column", "id", "n")
+        if turn != "product":
+            # One pivot a column, the same one wherever a group shares columns: the smallest hash of its component, then row.
+            order = F.struct(F.xxhash64(F.lit(turn), "label").alias("h"), "label", F.xxhash64(F.lit(turn), "id").alias("g"), "id", "n")
+            paired = named.withColumn("p", F.min(order).over(w))
+            apart = (F.col("label") != F.col("p.label")) & (F.col("n") * 100 >= F.col("p.n") * percent) & (F.col("p.n") * 100 >= F.col("n") * percent)
+            pairs = _ordered(paired.filter(apart).select(F.col("id").alias("a"), F.col("p.id").alias("b")))
         else:
-            pivot = F.min(F.struct(F.xxhash64(F.lit("second"), "label").alias("h"), F.xxhash64(F.lit("second"), "id").alias("g"), "id", "n", "label")).over(w)
-            again = named.filter("open").withColumn("pivot", pivot)
-            shared = cut(again.select("column", "id", "n", F.col("pivot.id").alias("p"), F.col("pivot.n").alias("pn"), (F.col("pivot.label") != F.col("label")).alias("apart")))
-            pairs = _ordered(shared.filter(F.col("apart") & _near("n", "pn", percent)).select(F.col("id").alias("a"), F.col("p").alias("b")))
-            shared = shared.select("column", "id", "n")
-        pairs = cut(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        found = found.unionByName(cut(verified(pairs, sets, percent)))
-        tried = tried.unionByName(pairs)
+            pairs = _product(named, percent)
+        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        sets = whole_sets(df, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), id_col, text_col, width)
+        good = cut(verified(pairs, sets, percent))
+        found, tried = (good, pairs) if found is None else (found.unionByName(good), tried.unionByName(pairs))
     return found
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``id_col``, ``n_shingles`` and ``component_id``: the smallest id that links reach, the document's own included."""
-    sets = cut(shingle_sets(df, id_col, text_col, width, percent))
-    digest = ["f1", "f2", "n"]
-    classes = cut(sets.filter("n > 0").groupBy(*digest).agg(F.min("id").alias("class")))
-    rows = sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").select("id", "n", "prefix")
-    labels = components(links(df, rows, id_col, text_col, width, percent))
-    named = classes.join(labels.withColumnRenamed("id", "class"), "class", "left").select(*digest, F.coalesce("label", "class").alias("component"))
-    out = sets.select("id", *digest).join(named, digest, "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+def _product(rows: DataFrame, percent: int) -> DataFrame:
+    """The product between components, by column: pairs whose accumulated overlap the sizes allow to be enough.
+
+    Of two sets the entries dealt out end at different places of the order; beyond the earlier end the smaller rest is at
+    most ceil(t n) - 1 entries of either, which bounds the overlap that is not counted here.
+    """
+    other = rows.select("column", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
+    product = rows.withColumnRenamed("id", "a").join(other, "column").filter((F.col("label") < F.col("bl")) & _near("n", "bn", percent))
+    counted = product.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("overlap"), F.first(F.col("n") + F.col("bn")).alias("sizes"), F.first(F.greatest("n", "bn")).alias("larger"))
+    need = F.ceil(F.col("sizes") * percent / F.lit(100.0 + percent) - 1e-9)
+    return counted.filter(F.col("overlap") + F.ceil(F.col("larger") * percent / 100.0 - 1e-9) - 1 >= need).select("a", "b")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:

@@ -35,16 +35,16 @@ def parse(raw: Column) -> Column:
     parts = F.transform(F.split(strip_accents(F.coalesce(raw, F.lit(""))), ","), F.trim)
     parts = F.filter(parts, lambda p: (p != "") & ~key(p).rlike(r"^okres\b"))
     dashed = F.filter(parts, lambda p: p.contains(" - "))
-    named = F.trim(F.regexp_extract(F.element_at(dashed, -1), r"^.*? - (.*)$", 1))
+    named = F.trim(F.regexp_extract(F.try_element_at(dashed, F.lit(-1)), r"^.*? - (.*)$", 1))
     heads = F.transform(parts, lambda p: F.trim(F.when(p.contains(" - "), F.regexp_extract(p, r"^(.*?) - .*$", 1)).otherwise(p)))
-    last = F.element_at(heads, -1)
+    last = F.try_element_at(heads, F.lit(-1))
     in_city = key(last).rlike(_BOROUGH)
     municipality = F.when(in_city, "Praha").otherwise(last)
     body = F.slice(heads, 1, F.greatest(F.size(heads) - 1, F.lit(0)))
     # From the right: how many parts name boroughs or districts without a break.
     taken = F.aggregate(F.reverse(body), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, p: F.struct((s.n + (s.go & known(p)).cast("int")).alias("n"), (s.go & known(p)).alias("go"))).n
-    street_part = F.element_at(F.slice(body, 1, F.greatest(F.size(body) - taken, F.lit(0))), 1)
-    nearest = F.when(taken > 0, F.element_at(body, -1))
+    street_part = F.try_element_at(F.slice(body, 1, F.greatest(F.size(body) - taken, F.lit(0))), F.lit(1))
+    nearest = F.when(taken > 0, F.try_element_at(body, F.lit(-1)))
     district = F.coalesce(F.nullif(named, F.lit("")), F.when(in_city, last), nearest, F.lit(""))
     street = F.trim(F.regexp_replace(F.coalesce(street_part, F.lit("")), r"\s+[\d/]+[a-zA-Z]?\s*$", ""))
     empty = F.size(parts) == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bessel ellipsoid, Krovak's cone and the three-parameter shift to WGS84.
 A, E2 = 6377397.155, 0.006674372230614
@@ -40,7 +41,7 @@ def to_wgs84(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.degrees(lat), np.degrees(np.arctan2(py, px))
 
 
-@F.pandas_udf("struct<lat:double,lon:double>")
+@F.pandas_udf(T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())]))
 def krovak_to_wgs84(x: pd.Series, y: pd.Series) -> pd.DataFrame:
     """Signs are ignored: exports write both axes negative or positive."""
     lat, lon = to_wgs84(np.abs(x.to_numpy(float)), np.abs(y.to_numpy(float)))

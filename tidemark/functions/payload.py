@@ -9,6 +9,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import clean_text, fold
 
@@ -53,7 +54,7 @@ def url_of(base: str, *parts: Column) -> Column:
     return F.concat_ws("/", F.lit(base), *parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """HTML entities resolved; Spark has no built-in for all of them."""
     return texts.map(lambda x: html.unescape(x) if x else x)
@@ -81,7 +82,7 @@ def cards(page: Column, marker: str) -> Column:
     return F.slice(F.split(page, marker), 2, 1 << 20)
 
 
-@F.pandas_udf("struct<what:string,price:string,address:string>")
+@F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in ("what", "price", "address")]))
 def description_parts(texts: pd.Series) -> pd.DataFrame:
     """A description sentence's subject, price and address; initials and abbreviations do not end a sentence."""
     rows = []
@@ -103,7 +104,7 @@ def _largest(node, found: list) -> None:
             _largest(x, found)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def embedded_advert(pages: pd.Series) -> pd.Series:
     """The largest object with an id and two marker fields in a page's embedded JSON, as JSON."""
     out = []

@@ -375,18 +375,19 @@ def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return old, o.filter(k % 10 >= 3).select(k.alias("internal_id"), F.when(k % 5 == 0, p + 100).when(k % 7 != 0, p).alias("price"), word.alias("priority"))
 
 
-_TODAY = F.lit("2000-01-01").cast("date")
+def _today() -> F.Column:
+    return F.lit("2000-01-01").cast("date")
 
 
 @query(f"""WITH {_OLD}, {_NEW} SELECT coalesce(old.internal_id, new.internal_id) AS internal_id, coalesce(new.price, old.price) AS price, CASE WHEN new.priority <> '' THEN new.priority ELSE old.priority END AS priority, CASE WHEN old.internal_id IS NULL THEN DATE '2000-01-01' ELSE first_seen_at END AS first_seen_at,
 CASE WHEN new.internal_id IS NULL THEN last_seen_at ELSE DATE '2000-01-01' END AS last_seen_at, CASE WHEN new.internal_id IS NULL THEN status ELSE 'active' END AS status FROM old FULL JOIN new ON old.internal_id = new.internal_id""")
 def merge_snapshot(spark, sf_dir):
-    return merge.merge_snapshot(*_halves(spark, sf_dir), "internal_id", ["price", "priority"], [], _TODAY, _TODAY)[0]
+    return merge.merge_snapshot(*_halves(spark, sf_dir), "internal_id", ["price", "priority"], [], _today(), _today())[0]
 
 
 @query(f"""WITH {_OLD}, {_NEW} SELECT old.internal_id, 'price' AS field FROM old JOIN new USING (internal_id) WHERE abs(old.price - new.price) >= 1e-9 UNION ALL SELECT old.internal_id, 'priority' FROM old JOIN new USING (internal_id) WHERE new.priority <> '' AND lower(old.priority) <> lower(new.priority)""")
 def merge_changes(spark, sf_dir):
-    return merge.merge_snapshot(*_halves(spark, sf_dir), "internal_id", ["price", "priority"], [], _TODAY, _TODAY)[1].select("internal_id", "field")
+    return merge.merge_snapshot(*_halves(spark, sf_dir), "internal_id", ["price", "priority"], [], _today(), _today())[1].select("internal_id", "field")
 
 
 @query(f"""WITH {_OLD}, {_NEW}, t AS (SELECT *, left(priority, 1) AS scope FROM old), b AS (SELECT scope, count(*) FILTER (status = 'active') AS active_before FROM t GROUP BY scope), n AS (SELECT t.scope, count(*) AS seen_now FROM t JOIN new USING (internal_id) WHERE t.scope <> '1' GROUP BY t.scope),
@@ -398,7 +399,7 @@ def absence_scope_guard(spark, sf_dir):
     t = old.withColumn("scope", F.substring("priority", 1, 1))
     seen = t.join(new.select("internal_id"), "internal_id", "left_semi")
     scopes = merge.guarded_scopes(t, seen.filter("scope <> '1'"), "internal_id", ["scope"], t.select("scope").distinct())
-    return merge.mark_absent(t, new, "internal_id", ["scope"], scopes.filter("trusted"), _TODAY).select("internal_id", "status")
+    return merge.mark_absent(t, new, "internal_id", ["scope"], scopes.filter("trusted"), _today()).select("internal_id", "status")
 
 
 @query("""SELECT o_orderkey, CASE WHEN s = 'removed' THEN s WHEN d IS NULL THEN 'missing_' || greatest(1, coalesce(TRY_CAST(nullif(regexp_extract(s, '^missing_(\\d+)$', 1), '') AS INT), 0)) WHEN d >= 5 THEN 'removed' ELSE 'missing_' || greatest(1, d) END AS status

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +49,9 @@ def read_changes(spark: SparkSession, paths: str | list[str], columns: dict[str,
 
 def read_runs(spark: SparkSession, paths: str | list[str], keep_bad: bool = False) -> DataFrame:
     """Run log of JSON lines in order of start; unreadable lines are dropped, or kept in ``bad_line``."""
-    schema = T.StructType([*schemas.RUN_LOG, T.StructField("bad_line", T.StringType())])
-    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "bad_line").json(paths)
-    return rows if keep_bad else rows.filter("bad_line IS NULL AND started_at IS NOT NULL").drop("bad_line").orderBy("started_at")
+    lines = spark.read.text(paths).filter(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", schemas.RUN_LOG).alias("run"), "value").select("run.*", F.when(F.col("run.started_at").isNull(), F.col("value")).alias("bad_line"))
+    return rows if keep_bad else rows.filter("bad_line IS NULL").drop("bad_line").orderBy("started_at")
 
 
 def read_register(spark: SparkSession, paths: str | list[str], columns: dict[str, str] | None = None) -> DataFrame:
@@ -54,9 +59,22 @@ def read_register(spark: SparkSession, paths: str | list[str], columns: dict[str
     return read_csv(spark, paths, schemas.REGISTER, columns).filter("street IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL")
 
 
-def read_register_export(spark: SparkSession, paths: str | list[str], schema: T.StructType, columns: dict[str, str]) -> DataFrame:
-    """The register's own export: semicolons and the windows-1250 code page."""
-    return read_csv(spark, paths, schema, columns, sep=";", encoding="windows-1250")
+def read_register_export(spark: SparkSession, paths: str, schema: T.StructType, columns: dict[str, str], encoding: str = "cp1250", sep: str = ";") -> DataFrame:
+    """The register's own export: semicolons and the windows-1250 code page, which Spark's readers don't take.
+
+    Whole files are decoded on the executors; the register comes as one moderate file a municipality.
+    """
+    names = {v: k for k, v in columns.items()}
+    wanted = [names.get(f.name, f.name) for f in schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                rows = list(csv.DictReader(io.StringIO(content.as_py().decode(encoding)), delimiter=sep))
+                yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], pa.string()) for c in wanted], names=schema.names)
+
+    raw = spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
+    return raw.select(*[blank_to_null(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_raw(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ two sets of Jaccard similarity ``t`` or more share a column among the first ``n
 order, so only those entries are dealt out, by column, rare columns first. Rarity comes from a counter sketch of fixed
 size over all shingles, which steers the work and never the result.
 
-A column block does not emit all its pairs. In two rounds each column pairs its rows with one pivot row only; pairs within
+A column block does not emit all its pairs. In each of a few rounds a column pairs its rows with one pivot row only; pairs within
 size bounds are verified by the exact overlap of whole sets, and links join rows into components. Columns whose rows all
 lie in one component are done, since further links there change nothing. What is left is multiplied out between
 components: overlap counts are accumulated over columns, and pairs below the size-derived bound are discarded before
@@ -32,8 +32,12 @@ from tidemark.llm.components import components
 from tidemark.llm.store import cut
 from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, hash_spans, mix, shingles
 
-SKETCH_BITS = 20
-_BLOCKS = 16
+#: Counters of the rarity sketch; 32 MB of 16-bit counts whatever the input.
+SKETCH_BITS = 24
+_BLOCKS = 64
+#: Pivot rounds before components are multiplied out, and pivots that a group of like columns gets in a round.
+ROUNDS = 5
+PIVOTS = 4
 PERCENT = 80
 
 
@@ -52,19 +56,19 @@ def _packed(blocks: dict[int, np.ndarray]) -> list[tuple[int, bytes]]:
 
 
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Blocks (``block``, ``counts``) of all tasks added up; the number of blocks is fixed."""
+    """Blocks (``block``, ``counts``) of all tasks added up, at most 65,535 each; the number of blocks is fixed."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(data), np.int64)
-                total[b] = total[b] + part if b in total else part
-        rows = _packed(total)
+                part = np.frombuffer(zlib.decompress(data), np.uint16).astype(np.uint32)
+                total[b] = np.minimum(total[b] + part, 0xFFFF) if b in total else part
+        rows = _packed({b: v.astype(np.uint16) for b, v in total.items()})
         yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())], names=["block", "counts"])
 
     got = parts.select("block", "counts").repartition(_BLOCKS, "block").mapInArrow(add, parts.select("block", "counts").schema).collect()
-    return {b: np.frombuffer(zlib.decompress(data), np.int64) for b, data in got}
+    return {b: np.frombuffer(zlib.decompress(data), np.uint16) for b, data in got}
 
 
 _LIGHT = T.StructType([T.StructField("id", T.LongType()), *(T.StructField(c, T.LongType()) for c in ("n", "f1", "f2")), T.StructField("block", T.IntegerType()), T.StructField("counts", T.BinaryType())])
@@ -73,7 +77,7 @@ _LIGHT = T.StructType([T.StructField("id", T.LongType()), *(T.StructField(c, T.L
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, np.ndarray]:
     """(``id``, set size ``n``, set digest ``f1``, ``f2``) of every document, and the sketch: one pass over the texts.
 
-    The sketch counts shingles by the top bits of their hash; it takes 4 MB whatever the input.
+    The sketch counts shingles by the top bits of their hash; it takes 32 MB whatever the input.
     """
     size, block = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // _BLOCKS
 
@@ -82,7 +86,7 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> tuple
 
     def step(state: np.ndarray, chunk: Chunk, rows: pa.RecordBatch) -> list:
         h, doc = _chunk_shingles(chunk, width)
-        state += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+        np.add.at(state, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
         cuts = np.searchsorted(doc, np.arange(chunk.n + 1))
         n, f1, f2 = np.zeros(chunk.n, np.int64), np.zeros(chunk.n, np.uint64), np.zeros(chunk.n, np.uint64)
         for d in range(chunk.n):
@@ -92,16 +96,16 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> tuple
         return [rows_of(rows.column(0), n, f1.view(np.int64), f2.view(np.int64), none, none)]
 
     def finish(state: np.ndarray) -> Iterator[pa.RecordBatch]:
-        got = _packed({b: state[b * block : (b + 1) * block] for b in range(_BLOCKS)})
+        got = _packed({b: np.minimum(state[b * block : (b + 1) * block], 0xFFFF).astype(np.uint16) for b in range(_BLOCKS)})
         none = [None] * len(got)
         yield rows_of(none, none, none, none, [b for b, _ in got], [c for _, c in got])
 
     source = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("__body"))
-    both = cut(fold_text(source, "__body", lambda: np.zeros(size, np.int64), step, finish, _LIGHT, ["id"]))
-    out = np.zeros(size, np.int64)
+    both = cut(fold_text(source, "__body", lambda: np.zeros(size, np.uint32), step, finish, _LIGHT, ["id"]))
+    out = np.zeros(size, np.uint16)
     for b, counts in _summed(both.filter("block IS NOT NULL")).items():
         out[b * block : (b + 1) * block] = counts
-    return both.filter("block IS NULL").select("id", "n", "f1", "f2"), np.minimum(out, (1 << 24) - 1).astype(np.uint32)
+    return both.filter("block IS NULL").select("id", "n", "f1", "f2"), out
 
 
 def _digest(u: np.ndarray) -> tuple[int, np.uint64, np.uint64]:
@@ -249,7 +253,7 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
     shared = cut(shared.withColumn("many", many).filter("many").select("column", "id", "n"))
 
     found = tried = None
-    for turn in ("first", "second", "product"):
+    for turn in range(ROUNDS + 1):
         if found is None:
             named = shared.withColumn("label", F.col("id"))
         else:
@@ -258,14 +262,7 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
             # A column within one component is done for good.
             named = cut(named.withColumn("open", F.min("label").over(w) < F.max("label").over(w)).filter("open").drop("open"))
             shared = named.select("column", "id", "n")
-        if turn != "product":
-            # One pivot a column, the same one wherever a group shares columns: the smallest hash of its component, then row.
-            order = F.struct(F.xxhash64(F.lit(turn), "label").alias("h"), "label", F.xxhash64(F.lit(turn), "id").alias("g"), "id", "n")
-            paired = named.withColumn("p", F.min(order).over(w))
-            apart = (F.col("label") != F.col("p.label")) & (F.col("n") * 100 >= F.col("p.n") * percent) & (F.col("p.n") * 100 >= F.col("n") * percent)
-            pairs = _ordered(paired.filter(apart).select(F.col("id").alias("a"), F.col("p.id").alias("b")))
-        else:
-            pairs = _product(named, percent)
+        pairs = _pivot_pairs(named, turn, percent) if turn < ROUNDS else _product(named, percent)
         pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         sets = whole_sets(df, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), id_col, text_col, width)
         good = cut(verified(pairs, sets, percent))
@@ -273,6 +270,20 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
     return found
 
 
+def _pivot_pairs(named: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each column's rows with one row of the column's largest component, if in another one and of possible size.
+
+    Columns fall into ``PIVOTS`` kinds; within a kind the smallest hash leads, so that the columns which a group of
+    near copies shares name few different pivots. Pairs grow with rows, never with their square.
+    """
+    size = named.groupBy("label").agg(F.count_distinct("id").alias("size"))
+    kind = F.pmod(F.xxhash64("column"), F.lit(PIVOTS))
+    order = F.struct((-F.col("size")).alias("s"), F.xxhash64(F.lit(turn), kind, "id").alias("g"), "id", "n", "label")
+    led = named.join(size, "label").withColumn("p", F.min(order).over(Window.partitionBy("column")))
+    apart = (F.col("label") != F.col("p.label")) & (F.col("n") * 100 >= F.col("p.n") * percent) & (F.col("p.n") * 100 >= F.col("n") * percent)
+    return _ordered(led.filter(apart).select(F.col("id").alias("a"), F.col("p.id").alias("b")))
+
+
 def _product(rows: DataFrame, percent: int) -> DataFrame:
     """The product between components, by column: pairs whose accumulated overlap the sizes allow to be enough.
 

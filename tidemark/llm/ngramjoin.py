@@ -35,8 +35,10 @@ from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, hash_spans, mi
 #: Counters of the rarity sketch; 32 MB of 16-bit counts whatever the input.
 SKETCH_BITS = 24
 _BLOCKS = 64
-#: Pivot rounds before components are multiplied out, and pivots that a group of like columns gets in a round.
+#: Most pivot rounds before components are multiplied out, and pivots that a group of like columns gets in a round.
 ROUNDS = 5
+#: A round in which fewer than one pair in so many proved a link is the last one.
+FRUITLESS = 50
 PIVOTS = 4
 PERCENT = 80
 
@@ -253,7 +255,8 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
     shared = cut(shared.withColumn("many", many).filter("many").select("column", "id", "n"))
 
     found = tried = None
-    for turn in range(ROUNDS + 1):
+    turn = 0
+    while True:
         if found is None:
             named = shared.withColumn("label", F.col("id"))
         else:
@@ -264,10 +267,17 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
             shared = named.select("column", "id", "n")
         pairs = _pivot_pairs(named, turn, percent) if turn < ROUNDS else _product(named, percent)
         pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        sets = whole_sets(df, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), id_col, text_col, width)
-        good = cut(verified(pairs, sets, percent))
-        found, tried = (good, pairs) if found is None else (found.unionByName(good), tried.unionByName(pairs))
-    return found
+        n_pairs = pairs.count()
+        if n_pairs:
+            sets = whole_sets(df, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), id_col, text_col, width)
+            good = cut(verified(pairs, sets, percent))
+            found, tried = (good, pairs) if found is None else (found.unionByName(good), tried.unionByName(pairs))
+        if not n_pairs and found is None:
+            return pairs
+        if turn >= ROUNDS:
+            return found
+        # Where pivots hardly link any more, what is left is mostly unlike: it is multiplied out at once.
+        turn = turn + 1 if n_pairs and good.count() * FRUITLESS >= n_pairs else ROUNDS
 
 
 def _pivot_pairs(named: DataFrame, turn: int, percent: int) -> DataFrame:

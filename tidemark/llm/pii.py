@@ -180,12 +180,12 @@ def hidden_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int
     tape = Tape(text)
     for step in (homoglyphs, spelled_digits, at_and_dot):
         step(tape)
-    if not tape.changed.any():
+    if tape.text == text:
         return []
     out, taken = [], [(s, e) for s, _, e in plain]
     for s, kind, e in plain_spans(tape.text):
-        if tape.changed[s:e].any():
-            a, z = int(tape.start[s]), int(tape.end[e - 1])
+        a, z = int(tape.start[s]), int(tape.end[e - 1])
+        if text[a:z] != tape.text[s:e]:
             if all(z <= x or a >= y or (a <= x and y <= z) for x, y in taken):
                 out.append((a, kind, z))
                 taken.append((a, z))

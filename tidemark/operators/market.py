@@ -7,6 +7,8 @@ length of an episode; only order statistics range-join events to the windows tha
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,11 +26,12 @@ def with_segments(episodes: DataFrame) -> DataFrame:
     return episodes.withColumn("segment", F.explode(names))
 
 
-def day_grid(rows: DataFrame, last_day: Column | None = None) -> DataFrame:
-    """Every (``segment``, ``day``) from the first start to the last day."""
-    ends = rows.agg(F.min("start").alias("low"), (F.max("end") if last_day is None else F.first(last_day)).alias("high"))
-    days = ends.filter("low <= high").select(F.explode(F.sequence("low", "high")).alias("day"))
-    return rows.select("segment").distinct().join(F.broadcast(days), F.lit(True))  # at most one row a calendar day
+def day_grid(rows: DataFrame, last_day: date | None = None) -> DataFrame:
+    """Every (``segment``, ``day``) from the first start to the last day; two dates come to the driver, nothing else."""
+    low, high = rows.agg(F.min("start"), F.max("end")).first()
+    high = last_day or high
+    days = F.sequence(F.lit(low), F.lit(high)) if low and low <= high else F.array().cast("array<date>")
+    return rows.select("segment").distinct().select("segment", F.explode(days).alias("day"))
 
 
 def daily_supply(rows: DataFrame, grid: DataFrame) -> DataFrame:

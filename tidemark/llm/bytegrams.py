@@ -5,9 +5,10 @@ symbols. A *gram* packs ``order`` context bytes and the next byte into the low `
 what is left above them may hold a 16-bit tag (of a language, say). Lower-order grams are the suffixes of the top ones,
 so only top grams are ever counted from texts.
 
-Models are built from at most ``MAX_ENTRIES`` top grams at a time, which bounds what is broadcast: a larger table is cut
-into shards by the last two context bytes, and each shard scores the positions that fall into it; a text's score is the
-sum over shards. Grams of up to two context bytes (at most 2^24 a tag) are shared by all shards.
+A model of more than ``MAX_ENTRIES`` top grams is built in shards by the last two context bytes, one at a time through the
+driver; each shard scores the positions that fall into it, and a text's score is the sum over shards. Tasks load all
+shards, so their memory follows the number of distinct grams, which levels off with byte n-grams of natural text but has
+no hard bound. Grams of up to two context bytes (at most 2^24 a tag) are shared by all shards.
 """
 
 from __future__ import annotations

@@ -48,6 +48,15 @@ def test_query(spark, duck, name):
         assert got
 
 
+def test_street_limit_is_the_rules(spark, tmp_path):
+    """Blocks of 17 and 400 rows are paired whole, one of 401 is skipped."""
+    sizes = {"a": 17, "b": 400, "c": 401}
+    rows = [(k, "n x", b, "t", 1, 1.0) for k, b in enumerate(b for b, n in sizes.items() for _ in range(n))]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.a_id, r.b_id) for r in catalogue.QUERIES["street_block_pairs"](spark, str(tmp_path)).collect()}
+    assert got == {(a, b) for lo, hi in ((0, 17), (17, 417)) for a in range(lo, hi) for b in range(a + 1, hi)}
+
+
 def test_entry_without_the_optional_subpackage(tmp_path):
     shutil.copy(REPO / "__spark_entry__.py", tmp_path)
     shutil.copytree(REPO / "tidemark", tmp_path / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))

@@ -253,10 +253,16 @@ def grid_pairs(spark, sf_dir):
 
 @query(f"""{cte("ent")}, s AS (SELECT *, count(*) OVER (PARTITION BY street) AS c FROM ent) SELECT a.internal_id AS a_id, b.internal_id AS b_id FROM s a JOIN s b ON a.street = b.street AND a.internal_id < b.internal_id WHERE a.c <= 16""")
 def street_block_capped(spark, sf_dir):
-    """Pairs on one street; streets of more than sixteen rows are skipped by the rule (its limit here, so that it bites)."""
+    """Pairs on streets of at most sixteen rows, as its SQL states; ``street_block_pairs`` has the limit of the rule."""
     return match.street_pairs(A.entities(spark, sf_dir), most=16).select(F.col("a.internal_id").alias("a_id"), F.col("b.internal_id").alias("b_id"))
 
 
+@query(f"""{cte("ent")}, s AS (SELECT *, count(*) OVER (PARTITION BY street) AS c FROM ent) SELECT a.internal_id AS a_id, b.internal_id AS b_id FROM s a JOIN s b ON a.street = b.street AND a.internal_id < b.internal_id WHERE a.c <= 400""")
+def street_block_pairs(spark, sf_dir):
+    """Pairs on one street; streets above the limit of the rule are skipped."""
+    return match.street_pairs(A.entities(spark, sf_dir)).select(F.col("a.internal_id").alias("a_id"), F.col("b.internal_id").alias("b_id"))
+
+
 @query(f"""{cte("span")} SELECT a.l_partkey, count(*) AS overlapping FROM span a JOIN span b USING (l_partkey) WHERE a."start" - 30 <= b."end" AND b."start" - 30 <= a."end" GROUP BY ALL""")
 def interval_overlap_pairs(spark, sf_dir):
     """Ordered pairs of a part's spans that overlap within 30 days, each with itself too."""

@@ -57,6 +57,18 @@ def test_street_limit_is_the_rules(spark, tmp_path):
     assert got == {(a, b) for lo, hi in ((0, 17), (17, 417)) for a in range(lo, hi) for b in range(a + 1, hi)}
 
 
+def test_bootstrap_reads_every_line(spark, duck):
+    got = {(r.l_returnflag, r.l_linestatus, r.n) for r in catalogue.QUERIES["bootstrap_ci"](spark, SF).collect()}
+    assert got == set(duck.execute("SELECT l_returnflag, l_linestatus, count(l_extendedprice) FROM lineitem GROUP BY ALL").fetchall())
+
+
+def test_sole_value_sees_every_customer(spark, tmp_path):
+    """A balance is no key to a segment if any customer of it is in another one, whatever the balance."""
+    rows = [(1, 0, -900.0, "A"), (2, 0, -900.0, "A"), (3, 0, 5.0, "A"), (4, 0, 5.0, "B"), (5, 1, 7.0, "B")]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    assert {tuple(r) for r in catalogue.QUERIES["sole_value_all"](spark, str(tmp_path)).collect()} == {(-900.0, "A"), (7.0, "B")}
+
+
 def test_entry_without_the_optional_subpackage(tmp_path):
     shutil.copy(REPO / "__spark_entry__.py", tmp_path)
     shutil.copytree(REPO / "tidemark", tmp_path / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))

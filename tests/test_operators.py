@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import random
+import statistics
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -197,3 +199,17 @@ def test_inventory_and_views(spark):
     assert [r.name for r in nearest.nearest_names(names, "nurmiho").collect()] == ["nurmiho", "nurmih"]
     view = spark.createDataFrame([("a", "Růžová", "active", 1), ("b", "Jiná", "active", 2), ("c", "Růžová", "removed", 3)], "internal_id string, street string, status string, price long").withColumns({"url": F.lit(""), "description": F.lit("")})
     assert [r.internal_id for r in views.on_street(view, "ruzova").collect()] == ["a"] and views.on_street(view, "").count() == 0
+
+
+def test_bootstrap_equals_resampling_by_two_columns(spark):
+    rng = random.Random(3)
+    rows = [(g, h, rng.choice([None, float("nan"), *range(30), 1e9, -0.5])) for g, h, n in (("a", "x", 61), ("a", "y", 200), (None, "x", 40), ("b", None, 6), ("c", "x", 3)) for _ in range(n)]
+    rows = [(g, h, None if v is None else float(v)) for g, h, v in rows]
+    want = {}
+    for key in {r[:2] for r in rows}:
+        values = sorted(v for *k, v in rows if tuple(k) == key and v is not None and v == v)
+        draw = random.Random(7)
+        m = sorted(statistics.median(draw.choices(values, k=len(values))) for _ in range(400)) if len(values) >= 5 else None
+        want[key] = (len(values), m and m[10], m and m[389])
+    df = spark.createDataFrame(rows, "g string, h string, v double")
+    assert {(r.g, r.h): (r.n, r.low, r.high) for r in inventory.bootstrap_median(df, ["g", "h"], "v").collect()} == want

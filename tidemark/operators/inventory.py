@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import random
-import statistics
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
+#: Ranges that a group's values are cut into, and draws made at once.
+RANGES = 4096
+DRAWS = 1 << 18
 
 
 def quantiles(rows: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -19,19 +24,59 @@ def quantiles(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count(value).alias("n"), q.alias("q")).select(*by, "n", *[F.element_at("q", k + 1).alias(f"p{int(100 * p)}") for k, p in enumerate(QUANTILES)])
 
 
-def bootstrap_median(rows: DataFrame, by: str, value: str, rounds: int = 400, seed: int = 7, least: int = 5) -> DataFrame:
-    """95 % bootstrap interval of each group's median; the stream of draws is Python's, so results repeat."""
-
-    def f(frame: pd.DataFrame) -> pd.DataFrame:
-        values = sorted(frame[value].dropna().tolist())
-        if len(values) < least:
-            return pd.DataFrame({by: frame[by].iloc[:1], "n": [len(values)], "low": [None], "high": [None]})
-        rng = random.Random(seed)
-        medians = sorted(statistics.median(rng.choices(values, k=len(values))) for _ in range(rounds))
-        return pd.DataFrame({by: frame[by].iloc[:1], "n": [len(values)], "low": [medians[int(0.025 * rounds)]], "high": [medians[int(0.975 * rounds) - 1]]})
-
-    kind = rows.schema[by].dataType.simpleString()
-    return rows.select(by, value).groupBy(by).applyInPandas(f, f"{by} {kind}, n long, low double, high double")
+def _middle_draws(rng: np.random.RandomState, n: int) -> list[int]:
+    """The middle one or two, from zero, of n sorted draws of 0 to n - 1; memory grows with the root of n."""
+    want = [(n - 1) // 2, n // 2]
+    state, near = rng.get_state(), 8 * math.isqrt(n) + 8
+    while True:
+        low, high, below, kept = n // 2 - near, n // 2 + near, 0, []
+        for at in range(0, n, DRAWS):
+            x = np.floor(rng.random_sample(min(DRAWS, n - at)) * n).astype(np.int64)
+            below += int((x < low).sum())
+            kept.append(x[(x >= low) & (x <= high)])
+        inside = np.sort(np.concatenate(kept))
+        if below <= want[0] and want[1] < below + len(inside):
+            return [int(inside[k - below]) for k in sorted({*want})]
+        # The same draws again, with all of them kept.
+        rng.set_state(state)
+        near = n
+
+
+def bootstrap_median(rows: DataFrame, by: str | list[str], value: str, rounds: int = 400, seed: int = 7, least: int = 5) -> DataFrame:
+    """95 % bootstrap interval of each group's median; the stream of draws is Python's, so results repeat.
+
+    What a round draws are places in the sorted group, which depend on its size only. So a group is its counts per value,
+    cut into ranges of values whose sums place each drawn median; only ranges that hold one are sorted, each on its own.
+    A group's draws (``rounds`` times its size, without its rows) are made in one task.
+    """
+    by = [by] if isinstance(by, str) else by
+    v = F.col(value).cast("double")
+    counts = rows.select(F.struct(*by).alias("g"), F.when(~F.isnan(v), v).alias("v")).groupBy("g", "v").agg(F.count("v").alias("c"))
+    groups = counts.groupBy("g").agg(F.sum("c").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    width = F.col("hi") - F.col("lo")
+    part = F.when((width > 0) & (width < float("inf")), F.floor((F.col("v") - F.col("lo")) / width * RANGES)).otherwise(0)
+    values = counts.filter("c > 0").join(groups, "g").filter(F.col("n") >= least).select("g", "v", "c", part.alias("part"))
+    ranges = values.groupBy("g", "part").agg(F.sum("c").alias("size"))
+    ranges = ranges.withColumn("upto", F.sum("size").over(Window.partitionBy("g").orderBy("part"))).withColumn("before", F.col("upto") - F.col("size"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in batch.column(0).to_pylist():
+                rng = np.random.RandomState()
+                # Python's generator and numpy's make the same doubles of the same state.
+                _, (*key, at), _ = random.Random(seed).getstate()
+                rng.set_state(("MT19937", np.array(key, np.uint32), at))
+                drawn = [(n, k, place) for k in range(rounds) for place in _middle_draws(rng, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*drawn, strict=True)], names=["n", "round", "place"])
+
+    drawn = groups.filter(F.col("n") >= least).select("n").distinct().mapInArrow(draw, "n long, round long, place long")
+    drawn = groups.select("g", "n").join(drawn, "n").select("g", "round", "place")
+    wanted = drawn.join(ranges, "g").filter("place >= before AND place < upto").select("g", "part", "round", (F.col("place") - F.col("before")).alias("place"))
+    hit = values.join(wanted.select("g", "part").distinct(), ["g", "part"]).withColumn("upto", F.sum("c").over(Window.partitionBy("g", "part").orderBy("v")))
+    found = wanted.join(hit, ["g", "part"]).filter("place >= upto - c AND place < upto")
+    medians = found.groupBy("g", "round").agg((F.sum("v") / F.count("v")).alias("m")).groupBy("g").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    bounds = medians.select("g", F.element_at("m", int(0.025 * rounds) + 1).alias("low"), F.element_at("m", int(0.975 * rounds)).alias("high"))
+    return groups.select("g", "n").join(bounds, "g", "left").select("g.*", "n", "low", "high")
 
 
 def cluster_profile(listings: DataFrame) -> DataFrame:

@@ -350,9 +350,16 @@ def cluster_lend(spark, sf_dir):
 
 @query("""SELECT c_nationkey, min(c_mktsegment) AS "only" FROM customer WHERE c_acctbal < -800 GROUP BY c_nationkey HAVING count(DISTINCT c_mktsegment) = 1""")
 def sole_value_lookup(spark, sf_dir):
+    """The segment of a nation's indebted customers, if they have one only; ``sole_value_all`` leaves no customer out."""
     return nearest.sole_value(A.table(spark, sf_dir, "customer").filter("c_acctbal < -800"), "c_nationkey", "c_mktsegment")
 
 
+@query("""SELECT c_acctbal, min(c_mktsegment) AS "only" FROM customer GROUP BY c_acctbal HAVING count(DISTINCT c_mktsegment) = 1""")
+def sole_value_all(spark, sf_dir):
+    """The segment that all customers of one balance are in."""
+    return nearest.sole_value(A.table(spark, sf_dir, "customer"), "c_acctbal", "c_mktsegment")
+
+
 @query(f"""{cte("ent")} SELECT a.internal_id AS a_internal_id, b.internal_id AS b_internal_id FROM ent a JOIN ent b ON round(a.lat, 4) = round(b.lat, 4) AND round(a.lon, 4) = round(b.lon, 4) AND a.disposition = b.disposition AND a.internal_id < b.internal_id AND a.source <> b.source AND abs(a.area_m2 - b.area_m2) <= 1""")
 def near_misses(spark, sf_dir):
     return nearest.near_misses(A.entities(spark, sf_dir))
@@ -509,8 +516,7 @@ def history_retention(spark, sf_dir):
 @query()
 def bootstrap_ci(spark, sf_dir):
     """95 % interval of the median price by return flag and status."""
-    rows = A.table(spark, sf_dir, "supplier").select("s_nationkey", "s_acctbal")
-    return inventory.bootstrap_median(rows, "s_nationkey", "s_acctbal")
+    return inventory.bootstrap_median(A.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
 
 
 @query("""SELECT 'k' AS path, count(*) AS n FROM events WHERE json_extract(props, '$.k') IS NOT NULL""")

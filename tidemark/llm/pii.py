@@ -40,7 +40,7 @@ INVISIBLE = frozenset("­​‌‍⁠﻿")
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
     "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
-    "zéro": "0", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 DOT_WORDS = ("dot", "punkt", "point", "punto")
@@ -48,16 +48,24 @@ AT_WORDS = ("at", "arroba", "arobase", "chez")
 
 _word = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _dot, _at = "|".join(DOT_WORDS), "|".join(AT_WORDS)
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ \t-]+(?=(?:{_word})(?!\w)))?(?:{_word})(?:(?:[ \t,-]{{1,3}}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})(?:{_word}))+(?!\w)")
+# What the transducers rewrite; the gate below is made of the same parts, without what must stand around them.
+_ODD = r"[^\x00-\xac\xae-ɏ]|[²³¹]"
+_GAP = rf"(?:[ \t,-]{{1,3}}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})"
+_OPEN, _CLOSE = r"[ \t]{0,2}[\[({<][ \t]{0,2}", r"[ \t]{0,2}[\])}>][ \t]{0,2}"
+_DOT_SIGN = rf"(?:{_OPEN}(?:{_dot}|\.){_CLOSE}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})"
+_AT_SIGN = rf"(?:{_OPEN}(?:{_at}|@){_CLOSE}|[ \t]{{1,2}}@[ \t]{{0,2}}|@[ \t]{{1,2}})"
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ \t-]+(?=(?:{_word})(?!\w)))?(?:{_word})(?:{_GAP}(?:{_word}))+(?!\w)")
 _SPELLED_PART = re.compile(rf"(?i)(plus)|({_dot})|({_word})")
-_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-])(?:[ \t]{{0,2}}[\[({{<][ \t]{{0,2}}(?:{_dot}|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,2}}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})(?=[A-Za-z0-9-])")
-_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:[ \t]{{0,2}}[\[({{<][ \t]{{0,2}}(?:{_at}|@)[ \t]{{0,2}}[\])}}>][ \t]{{0,2}}|[ \t]{{1,2}}@[ \t]{{0,2}}|@[ \t]{{1,2}})(?=[A-Za-z0-9-])")
+_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-]){_DOT_SIGN}(?=[A-Za-z0-9-])")
+_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-]){_AT_SIGN}(?=[A-Za-z0-9-])")
 _BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])[ \t]{{1,2}}(?:{_at})[ \t]{{1,2}}(?=[A-Za-z0-9-])")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 
 #: RE2 patterns that say which texts need a closer look.
 _MAY_BE_PLAIN = r"@|[0-9]"
-_MAY_BE_HIDDEN = rf"(?i)[^\x00-\x{{024F}}]|\x{{00AD}}|\b(?:{_dot})\b|[\[({{<][ \t]?(?:{_at}|@|\.)[ \t]?[\])}}>]|@[ \t]|[ \t]@|\b(?:{_word})[ \t,-]{{1,3}}(?:{_word})\b"
+# RE2 counts fewer letters as words' and as an i in any case than Python does. A bare ``at`` needs a changed host.
+_SIGNS = rf"{_DOT_SIGN}|{_AT_SIGN}|(?:^|[^0-9A-Za-z_])(?:{_word}){_GAP}(?:{_word})(?:[^0-9A-Za-z_]|$)"
+_MAY_BE_HIDDEN = rf"{_ODD}|(?i:{_SIGNS.replace('i', '[iıİ]')})"
 
 
 def _luhn(digits: str) -> bool:
@@ -143,7 +151,7 @@ _known: dict[str, str] = {}
 def homoglyphs(tape: Tape) -> None:
     edits = []
     if not tape.text.isascii():
-        for m in re.finditer(r"[^\x00-¬®-ɏ]|[²³¹]", tape.text):
+        for m in re.finditer(_ODD, tape.text):
             c = m[0]
             if c not in _known:
                 _known[c] = _plain_letter(c)
@@ -152,13 +160,18 @@ def homoglyphs(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def _fold_word(word: str) -> str:
+    """Lower case, with the letters that patterns take for i and s in any case."""
+    return word.replace("İ", "i").replace("ı", "i").replace("ſ", "s").lower()
+
+
 def spelled_digits(tape: Tape) -> None:
     """Runs of two or more digit words become digits; ``plus`` before and dot words within a run become signs."""
     edits = []
     for m in _SPELLED.finditer(tape.text):
         at = m.start()
         for p in _SPELLED_PART.finditer(tape.text, m.start(), m.end()):
-            new = "+" if p[1] else "." if p[2] else DIGIT_WORDS[p[3].lower()]
+            new = "+" if p[1] else "." if p[2] else DIGIT_WORDS[_fold_word(p[3])]
             edits.append((at, p.end(), new))
             at = p.end()
     tape.rewrite(edits)

@@ -77,6 +77,15 @@ def test_join_equals_all_pairs(spark, seed):
     assert kept == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_join_goes_on_after_an_empty_first_round(spark):
+    """Near copies whose only pivot is a text that holds both of them and is far too long; its hash leads in all kinds."""
+    a, p = [f"a{i}" for i in range(15)], [f"p{i}" for i in range(60)]
+    rows = [(1, " ".join(a[:14])), (2, " ".join(a)), (84, " ".join(a + p * 5))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(docs).collect()}
+    assert got == brute_components(rows) and got[2] == (11, 1)
+
+
 def test_join_of_nothing(spark):
     none = spark.createDataFrame([], COLUMNS)
     assert ngramjoin.near_duplicates(none).count() == 0

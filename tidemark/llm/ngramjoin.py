@@ -272,11 +272,10 @@ def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame
             sets = whole_sets(df, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), id_col, text_col, width)
             good = cut(verified(pairs, sets, percent))
             found, tried = (good, pairs) if found is None else (found.unionByName(good), tried.unionByName(pairs))
-        if not n_pairs and found is None:
-            return pairs
         if turn >= ROUNDS:
-            return found
-        # Where pivots hardly link any more, what is left is mostly unlike: it is multiplied out at once.
+            return pairs if found is None else found
+        # Where pivots hardly link any more, what is left is mostly unlike: it is multiplied out at once. That a round has
+        # no pairs says nothing of rows that are no pivots, in the first round neither.
         turn = turn + 1 if n_pairs and good.count() * FRUITLESS >= n_pairs else ROUNDS
 
 

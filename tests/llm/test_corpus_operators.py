@@ -77,6 +77,20 @@ def test_join_equals_all_pairs(spark, seed):
     assert kept == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_near_pairs_are_all_pairs(spark):
+    """Pairs within a group of near copies too, each between the smallest ids of two different sets."""
+    rows = hard_corpus(3)
+    first = {}
+    for i, t in rows:
+        if shingle_set(t):
+            first.setdefault(frozenset(shingle_set(t)), i)
+    want = {(a, b) for x, a in first.items() for y, b in first.items() if a < b and 100 * len(x & y) >= 80 * len(x | y)}
+    pairs, copies = ngramjoin.near_pairs(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(5))
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    assert {tuple(r) for r in copies.collect()} == {(i, c) for i, t in rows if shingle_set(t) and (c := first[frozenset(shingle_set(t))]) != i}
+
+
 def test_join_goes_on_after_an_empty_first_round(spark):
     """Near copies whose only pivot is a text that holds both of them and is far too long; its hash leads in all kinds."""
     a, p = [f"a{i}" for i in range(15)], [f"p{i}" for i in range(60)]

@@ -228,31 +228,58 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+_DIGEST = ["f1", "f2", "n"]
+
+
+def _classes(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal sets, their ``copies`` (``id``, ``class``) and the representatives' ``sizes`` (``id``, ``n``)."""
+    classes = cut(sets.filter("n > 0").groupBy(*_DIGEST).agg(F.min("id").alias("class"), F.max("id").alias("last")))
+    copies = cut(sets.join(classes.filter("class < last"), _DIGEST).filter("id <> class").select("id", "class"))
+    return classes, copies, classes.select(F.col("class").alias("id"), "n")
+
+
+def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All pairs (``a`` < ``b``) of different sets that reach the similarity, by their smallest ids, and the copies (``id``, ``class``).
+
+    Nothing is left to components here: a group of near copies is multiplied out, so the pairs grow with the square of
+    its number of different sets.
+    """
+    sets, counts = shingle_sets(df, id_col, text_col, width)
+    _, copies, sizes = _classes(sets)
+    shared = _shared(prefix_entries(df, counts, id_col, text_col, width, percent), copies, sizes)
+    pairs = cut(_product(shared.withColumn("label", F.col("id")), percent))
+    both = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    return verified(pairs, whole_sets(df, both, id_col, text_col, width), percent), copies
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id``: the smallest id that links reach, the document's own included."""
     sets, counts = shingle_sets(df, id_col, text_col, width)
-    digest = ["f1", "f2", "n"]
-    classes = cut(sets.filter("n > 0").groupBy(*digest).agg(F.min("id").alias("class"), F.max("id").alias("last")))
-    copies = cut(sets.join(classes.filter("class < last"), digest).filter("id <> class").select("id", "class"))
-    sizes = classes.select(F.col("class").alias("id"), "n")
+    classes, copies, sizes = _classes(sets)
     entries = prefix_entries(df, counts, id_col, text_col, width, percent)
     labels = components(links(df, entries, copies, sizes, id_col, text_col, width, percent))
-    named = classes.join(labels.withColumnRenamed("id", "class"), "class", "left").select(*digest, F.coalesce("label", "class").alias("component"))
-    out = sets.join(named, digest, "left")
+    named = classes.join(labels.withColumnRenamed("id", "class"), "class", "left").select(*_DIGEST, F.coalesce("label", "class").alias("component"))
+    out = sets.join(named, _DIGEST, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _shared(entries: DataFrame, copies: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Entries (``column``, ``id``, ``n``) of representatives in columns that more than one of them is in."""
+    w = Window.partitionBy("column")
+    many = F.min("id").over(w) < F.max("id").over(w)
+    shared = entries.withColumn("many", many).filter("many").select("column", "id")
+    # Copies stand for their class; columns that only one class is left in are done.
+    shared = shared.join(copies, "id", "left").select("column", F.coalesce("class", "id").alias("id")).distinct().join(sizes, "id")
+    return cut(shared.withColumn("many", many).filter("many").select("column", "id", "n"))
+
+
 def links(df: DataFrame, entries: DataFrame, copies: DataFrame, sizes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """Links (a, b) between class representatives that connect all that the similarity connects.
 
     ``copies`` maps ids to the representative of their equal set; ``sizes`` has every representative's set size.
     """
     w = Window.partitionBy("column")
-    many = F.min("id").over(w) < F.max("id").over(w)
-    shared = entries.withColumn("many", many).filter("many").select("column", "id")
-    # Copies stand for their class; columns that only one class is left in are done.
-    shared = shared.join(copies, "id", "left").select("column", F.coalesce("class", "id").alias("id")).distinct().join(sizes, "id")
-    shared = cut(shared.withColumn("many", many).filter("many").select("column", "id", "n"))
+    shared = _shared(entries, copies, sizes)
 
     found = tried = None
     turn = 0

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import random
 import statistics
+from collections import Counter
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -213,3 +214,33 @@ def test_bootstrap_equals_resampling_by_two_columns(spark):
         want[key] = (len(values), m and m[10], m and m[389])
     df = spark.createDataFrame(rows, "g string, h string, v double")
     assert {(r.g, r.h): (r.n, r.low, r.high) for r in inventory.bootstrap_median(df, ["g", "h"], "v").collect()} == want
+
+
+def test_json_paths_enter_arrays(spark):
+    texts = [
+        {"a": [{"b": 1}, {"b": 2, "c": [[{"d": None}]]}, 3, "x"], "e": []}, [{"b": 1}, [{"f": {"g": 1}}]], {"s": json.dumps([{"h": json.dumps({"i": [1]})}])}, {"s": "[no json", "t": "{nor this", "u": '[{"v": 1}, oops]'},
+        {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": 1}}}}}}}}, [], 5, {"a": [[[[[[[{"z": 1}]]]]]]]}, {"k": [{"l": [{"m": [{"n": 1}]}]}]},
+    ]
+    want = Counter()
+
+    def walk(x, path, depth, out):
+        if depth > 6:
+            return
+        if isinstance(x, str) and x[:1] in ("{", "["):
+            try:
+                x = json.loads(x)
+            except ValueError:
+                return
+        if isinstance(x, dict):
+            for k, v in x.items():
+                out.add(p := f"{path}.{k}" if path else k)
+                walk(v, p, depth + 1, out)
+        elif isinstance(x, list):
+            for v in x:
+                walk(v, path + "[]", depth + 1, out)
+
+    for t in texts:
+        walk(t, "", 0, out := set())
+        want.update(out)
+    docs = spark.createDataFrame([(pad + json.dumps(t),) for pad, t in zip(["", " \n", *[""] * len(texts)], texts)] + [(None,), ("",), ("[1, 2",)], "body string")
+    assert {r.path: r.n for r in inventory.json_paths(docs, "body").collect()} == want and {"a[].c[][].d", "[][].f.g", "s[].h.i"} <= set(want)

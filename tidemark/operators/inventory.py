@@ -120,15 +120,21 @@ def growth(days: DataFrame, whole_days: int = 7, ahead_days: int = 3 * 365) -> D
 
 
 def json_paths(rows: DataFrame, json_col: str, depth: int = 6) -> DataFrame:
-    """(``path``, ``n``): dotted field paths of JSON texts, JSON held in strings parsed too, and how many rows have them."""
-    first = rows.select(F.monotonically_increasing_id().alias("row"), F.col(json_col).alias("body"), F.lit("").alias("path"))
-    level, out = first, None
-    for _ in range(depth):
-        keys = level.withColumn("key", F.explode(F.json_object_keys("body")))
-        value = F.from_json("body", "map<string,string>")[F.col("key")]
-        level = keys.select("row", value.alias("body"), F.concat_ws(".", F.nullif("path", F.lit("")), "key").alias("path"))
-        out = level.select("row", "path") if out is None else out.unionByName(level.select("row", "path"))
-        level = level.filter(F.col("body").startswith("{"))
+    """(``path``, ``n``): dotted field paths of JSON texts, and how many rows have them.
+
+    JSON held in strings is parsed too; items of arrays are entered by a step ``[]``, which is no path of its own. The
+    whole text is at depth 0, and each object or array that is entered counts as one.
+    """
+    whole = F.regexp_replace(json_col, r"^\s+", "")
+    level, out = rows.select(F.monotonically_increasing_id().alias("row"), whole.alias("body"), F.lit("").alias("path")), None
+    for _ in range(depth + 1):
+        is_list = F.col("body").startswith("[") & F.json_array_length("body").isNotNull()
+        items = F.transform(F.from_json("body", "array<string>"), lambda x: F.struct(F.concat("path", F.lit("[]")).alias("path"), x.alias("body"), F.lit(False).alias("field")))
+        fields = F.transform(F.json_object_keys("body"), lambda k: F.struct(F.concat_ws(".", F.nullif("path", F.lit("")), k).alias("path"), F.col("values")[k].alias("body"), F.lit(True).alias("field")))
+        level = level.withColumn("values", F.from_json("body", "map<string,string>")).select("row", F.explode(F.when(is_list, items).otherwise(fields)).alias("x")).select("row", "x.*")
+        found = level.filter("field").select("row", "path")
+        out = found if out is None else out.unionByName(found)
+        level = level.filter(F.col("body").startswith("{") | F.col("body").startswith("["))
     return out.distinct().groupBy("path").agg(F.count("*").alias("n"))
 
 

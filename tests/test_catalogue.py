@@ -69,6 +69,15 @@ def test_sole_value_sees_every_customer(spark, tmp_path):
     assert {tuple(r) for r in catalogue.QUERIES["sole_value_all"](spark, str(tmp_path)).collect()} == {(-900.0, "A"), (7.0, "B")}
 
 
+def test_copies_hold_every_row_between_them(spark, duck):
+    assert catalogue.QUERIES["log_union_all"](spark, SF).count() == duck.execute("SELECT count(DISTINCT (event_id, user_id, event_type)) FROM events").fetchone()[0]
+    got = {r.id for r in catalogue.QUERIES["three_way_all"](spark, SF).collect()}
+    # Only orders of the base that a side lacks are gone, as deleted.
+    gone = duck.execute("SELECT o_orderkey FROM orders").fetchall()
+    gone = {k for (k,) in gone if k not in got}
+    assert gone and all(k % 2 == 0 and not 3 <= k % 10 < 8 for k in gone) and any(k % 15 == 0 for k in got)
+
+
 def test_entry_without_the_optional_subpackage(tmp_path):
     shutil.copy(REPO / "__spark_entry__.py", tmp_path)
     shutil.copytree(REPO / "tidemark", tmp_path / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))

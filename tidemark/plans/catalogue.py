@@ -426,18 +426,37 @@ def status_machine(spark, sf_dir):
 @query("""WITH o AS (SELECT o_orderkey AS id, o_orderpriority AS p, o_orderdate::DATE AS f, o_orderdate::DATE + 9 AS l FROM orders WHERE o_orderkey % 3 <> 0), t AS (SELECT o_orderkey AS id, 'their ' || o_orderpriority AS p, o_orderdate::DATE - 3 AS f, o_orderdate::DATE AS l FROM orders WHERE o_orderkey % 5 <> 0), b AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 0)
 SELECT coalesce(o.id, t.id) AS id, CASE WHEN o.id IS NOT NULL THEN o.p ELSE t.p END AS priority, least(o.f, t.f) AS first_seen, greatest(o.l, t.l) AS last_seen FROM o FULL JOIN t ON o.id = t.id WHERE (o.id IS NOT NULL AND t.id IS NOT NULL) OR coalesce(o.id, t.id) NOT IN (SELECT id FROM b)""")
 def three_way_merge(spark, sf_dir):
+    """Two copies as its SQL splits them, which leaves orders divisible by fifteen out; ``three_way_all`` leaves none out."""
     o, k, d = A.table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.to_date("o_orderdate")
     ours = o.filter(k % 3 != 0).select(k.alias("id"), F.col("o_orderpriority").alias("priority"), d.alias("first_seen"), F.date_add(d, 9).alias("last_seen"))
     theirs = o.filter(k % 5 != 0).select(k.alias("id"), F.concat(F.lit("their "), "o_orderpriority").alias("priority"), F.date_sub(d, 3).alias("first_seen"), d.alias("last_seen"))
     return merge.three_way(ours, theirs, o.filter(k % 2 == 0).select(k.alias("id")), "id", ["priority"], "first_seen", "last_seen")
 
 
+@query("""WITH o AS (SELECT o_orderkey AS id, o_orderpriority AS p, o_orderdate::DATE AS f, o_orderdate::DATE + 9 AS l FROM orders WHERE o_orderkey % 10 < 8), t AS (SELECT o_orderkey AS id, 'their ' || o_orderpriority AS p, o_orderdate::DATE - 3 AS f, o_orderdate::DATE AS l FROM orders WHERE o_orderkey % 10 >= 3), b AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 0)
+SELECT coalesce(o.id, t.id) AS id, CASE WHEN o.id IS NOT NULL THEN o.p ELSE t.p END AS priority, least(o.f, t.f) AS first_seen, greatest(o.l, t.l) AS last_seen FROM o FULL JOIN t ON o.id = t.id WHERE (o.id IS NOT NULL AND t.id IS NOT NULL) OR coalesce(o.id, t.id) NOT IN (SELECT id FROM b)""")
+def three_way_all(spark, sf_dir):
+    """Two copies that share half their orders and hold every one between them; those a side lacks of the base are deleted."""
+    o, k, d = A.table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.to_date("o_orderdate")
+    ours = o.filter(k % 10 < 8).select(k.alias("id"), F.col("o_orderpriority").alias("priority"), d.alias("first_seen"), F.date_add(d, 9).alias("last_seen"))
+    theirs = o.filter(k % 10 >= 3).select(k.alias("id"), F.concat(F.lit("their "), "o_orderpriority").alias("priority"), F.date_sub(d, 3).alias("first_seen"), d.alias("last_seen"))
+    return merge.three_way(ours, theirs, o.filter(k % 2 == 0).select(k.alias("id")), "id", ["priority"], "first_seen", "last_seen")
+
+
 @query("""SELECT event_id, user_id, event_type FROM events WHERE event_id % 3 <> 0 UNION SELECT event_id, user_id, event_type FROM events WHERE event_id % 2 = 0""")
 def log_union_distinct(spark, sf_dir):
+    """Two logs as its SQL splits them, which leaves a sixth of the events out; ``log_union_all`` leaves none out."""
     e = A.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     return merge.union_logs(e.filter("event_id % 3 <> 0"), e.filter("event_id % 2 = 0"))
 
 
+@query("""SELECT event_id, user_id, event_type FROM events WHERE event_id % 10 < 8 UNION SELECT event_id, user_id, event_type FROM events WHERE event_id % 10 >= 3""")
+def log_union_all(spark, sf_dir):
+    """Two logs that share half their events and hold every one between them."""
+    e = A.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return merge.union_logs(e.filter("event_id % 10 < 8"), e.filter("event_id % 10 >= 3"))
+
+
 _ALL = "l_shipdate DESC, (l_returnflag = 'R')::INT DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.ngramjoin import keep_one
@@ -30,8 +31,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Nine tenths of the tokens, mixed to the stated weights, each document at most once."""
-    chosen = mix_documents(docs, fraction=0.9, max_epochs=1).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
+    chosen = mix_documents(docs, fraction=0.9, max_epochs=1).select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "lang", "source")]).distinct()
+    # An id may be null, or stand in several leaves of which one is chosen; null labels are mixed as "".
+    leaf = [F.coalesce(c, F.lit("")) == F.col(f"__{c}") for c in ("lang", "source")]
+    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & leaf[0] & leaf[1], "left_semi").select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

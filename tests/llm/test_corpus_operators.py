@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import annpartition, mixing, ngramjoin, warc
 from tidemark.llm.components import components
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
@@ -264,3 +265,14 @@ def test_pipeline_stages_take_effect(spark):
     assert seen[0] > seen[1] > seen[2] == seen[3] > seen[4] == seen[5] > 0
     assert now.filter("NOT exact").count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "personal data", "mixing", "encoding"]
+
+
+def test_mixture_keeps_what_it_chose_without_an_id(spark):
+    """A null id is an id: its documents stay in the leaves where the mixture chose it, and in no others."""
+    rows = [(i, "a b c d", "en", "s1", 7) for i in range(40)] + [(None, "a b", "en", "s1", 3), (None, "a", None, None, 1), (None, "e f g h", "xx", "s2", 7)] + [(100 + i, "e f g h", "xx", "s2", 7) for i in range(40)] + [(5, "e f g h", "xx", "s2", 7)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    chosen = {(r.doc_id, r.lang, r.source) for r in mixing.mix_documents(docs, 0.9, 1).collect()}
+    want = [r for r in rows if (r[0], r[2] or "", r[3] or "") in chosen]
+    got = corpus_pipeline.mix_to_weights(spark, docs, "")
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert any(r[0] is None for r in want) and len(want) < len(rows)

@@ -25,8 +25,9 @@ def shingle_set(t):
 
 
 def brute_components(docs):
+    """(size, component, number of links) of each id."""
     sets = {i: shingle_set(t) for i, t in docs}
-    label = {i: i for i in sets}
+    label, links = {i: i for i in sets}, dict.fromkeys(sets, 0)
 
     def root(i):
         while label[i] != i:
@@ -39,9 +40,11 @@ def brute_components(docs):
             if sets[a] and sets[b]:
                 both = len(sets[a] & sets[b])
                 if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    links[a] += 1
+                    links[b] += 1
                     x, y = sorted((root(a), root(b)))
                     label[y] = x
-    return {i: (len(sets[i]), root(i)) for i in sets}
+    return {i: (len(sets[i]), root(i), links[i]) for i in sets}
 
 
 def hard_corpus(seed):
@@ -68,16 +71,69 @@ def hard_corpus(seed):
     return [(10 * i, t) for i, t in enumerate(docs)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_join_equals_all_pairs(spark, seed):
+def joined(docs, count_links=True):
+    return {r.doc_id: tuple(r)[1:] for r in ngramjoin.near_duplicates(docs, count_links=count_links).collect()}
+
+
+@pytest.mark.parametrize(("seed", "block", "entries"), [(1, 256, 1 << 20), (2, 8, 1 << 20), (3, 5, 900)])
+def test_join_equals_all_pairs(spark, monkeypatch, seed, block, entries):
+    """Also with columns and groups cut into many row blocks."""
+    monkeypatch.setattr(ngramjoin, "BLOCK", block)
+    monkeypatch.setattr(ngramjoin, "ENTRIES", entries)
     rows = hard_corpus(seed)
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(docs).collect()}
-    assert got == brute_components(rows)
+    want = brute_components(rows)
+    assert joined(docs) == want
+    got = joined(docs, count_links=False)
+    assert got == {i: x[:2] for i, x in want.items()}
     kept = {r.doc_id for r in ngramjoin.keep_one(docs).collect()}
     assert kept == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_join_of_a_hot_group(spark, monkeypatch):
+    """A third of all rows in one group of different near copies, another in exact copies, over many blocks."""
+    monkeypatch.setattr(ngramjoin, "BLOCK", 16)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(3000)]
+    base = [rng.choice(words) for _ in range(100)]
+    rows = []
+    for k in range(450):
+        v = list(base)
+        if k % 3 == 0:
+            for _ in range(3):
+                v[rng.randrange(100)] = rng.choice(words)
+        elif k % 3 == 1:
+            v = [rng.choice(words) for _ in range(rng.randint(1, 60))]
+        rows.append((k, " ".join(v)))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(6)
+    want = brute_components(rows)
+    assert joined(docs) == want and joined(docs, count_links=False) == {i: x[:2] for i, x in want.items()}
+
+
+def test_join_meets_strays(spark, monkeypatch):
+    """Rows outside a column's largest component meet each other, whatever blocks they are in."""
+    monkeypatch.setattr(ngramjoin, "BLOCK", 2)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [(10 * k + c, " ".join([f"x{k}y{j}" for j in range(3)] + passage[: 20 + k % 7] + [f"z{c}"])) for k in range(25) for c in range(2)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(3)
+    want = brute_components(rows)
+    assert joined(docs) == want and joined(docs, count_links=False) == {i: x[:2] for i, x in want.items()}
+
+
+def test_join_odd_tables(spark):
+    """Repeated rows, null ids, clashing column names and one very long text."""
+    rng = random.Random(4)
+    long = " ".join(f"v{rng.randrange(9000)}" for _ in range(30_000))
+    near = long + " tail"
+    rows = [(1, long, 1, 2), (2, near, 1, 2), (3, "a b", 1, 2), (3, "a b", 1, 2), (4, "A b", 1, 2), (None, "a b", 1, 2), (5, None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `row` int, __other int")
+    got = sorted(tuple(r) for r in ngramjoin.near_duplicates(docs, count_links=True).collect())
+    sizes = [len(shingle_set(t)) for t in (long, near)]
+    assert got == [(1, sizes[0], 1, 1), (2, sizes[1], 1, 1), (3, 1, 3, 2), (3, 1, 3, 2), (4, 1, 3, 2), (5, 0, 5, 0)]
+    kept = ngramjoin.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 3, 5]
+
+
 def test_near_pairs_are_all_pairs(spark):
     """Pairs within a group of near copies too, each between the smallest ids of two different sets."""
     rows = hard_corpus(3)
@@ -92,13 +148,13 @@ def test_near_pairs_are_all_pairs(spark):
     assert {tuple(r) for r in copies.collect()} == {(i, c) for i, t in rows if shingle_set(t) and (c := first[frozenset(shingle_set(t))]) != i}
 
 
-def test_join_goes_on_after_an_empty_first_round(spark):
-    """Near copies whose only pivot is a text that holds both of them and is far too long; its hash leads in all kinds."""
+def test_join_of_near_copies_of_a_longer_text(spark):
+    """Near copies that share columns only with a text that holds both of them and is far too long."""
     a, p = [f"a{i}" for i in range(15)], [f"p{i}" for i in range(60)]
     rows = [(1, " ".join(a[:14])), (2, " ".join(a)), (84, " ".join(a + p * 5))]
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(docs).collect()}
-    assert got == brute_components(rows) and got[2] == (11, 1)
+    got = joined(docs)
+    assert got == brute_components(rows) and got[2] == (11, 1, 1)
 
 
 def test_join_of_nothing(spark):

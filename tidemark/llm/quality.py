@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.bytegrams import COUNT_SCHEMA, Stream, emit, models, shard_of
 from tidemark.llm.kneser_ney import Builder
 from tidemark.llm.store import cut
-from tidemark.llm.textkit import Chunk, KeyCounter, fold_text, hash_spans, map_text, mix, sequence_hash
+from tidemark.llm.textkit import Chunk, KeyCounter, distinct_spans, fold_text, map_text, mix, sequence_hash
 
 #: Context bytes of the perplexity model.
 ORDER = 4
@@ -36,15 +36,28 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def _repeated(values: np.ndarray) -> np.ndarray:
-    """Flags of the values that occur more than once."""
-    ordered = np.sort(values)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    if not len(twice):
-        return np.zeros(len(values), bool)
-    at = np.searchsorted(twice, values)
-    at[at == len(twice)] = 0
-    return twice[at] == values
+def _repeated(keys: np.ndarray, places: np.ndarray, kinds: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
+    """Flags of the windows (their keys, and the places of their first words) that occur more than once in their document.
+
+    Equal keys only propose; windows are equal if their documents and the kinds of their words are.
+    """
+    order = np.argsort(keys, kind="stable")
+    alike = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    a, b = places[order[alike]], places[order[alike + 1]]
+    same = doc[a] == doc[b]
+    for k in range(window):
+        same &= kinds[a + k] == kinds[b + k]
+    out = np.zeros(len(keys), bool)
+    out[order[alike[same]]] = out[order[alike[same] + 1]] = True
+    if not same.all():  # a collision may stand between equal windows: those with its key are told apart by words
+        seen: dict[tuple, int] = {}
+        for i in np.flatnonzero(np.isin(keys, keys[order[alike[~same]]])):
+            words = (int(doc[places[i]]), *kinds[places[i] : places[i] + window].tolist())
+            out[i] |= words in seen
+            if words in seen:
+                out[seen[words]] = True
+            seen[words] = i
+    return out
 
 
 def statistics(chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
@@ -57,11 +70,12 @@ def statistics(chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     word_chars = np.bincount(doc, weights=letters[ends] - letters[starts], minlength=n).astype(np.int64)
 
     window = 5
-    runs = sequence_hash(hash_spans(buf, starts, ends), window)
+    _, kinds = distinct_spans(buf, starts, ends)
+    runs = sequence_hash(mix(kinds.astype(np.uint64) + np.uint64(1)), window)
     at = doc[: len(runs)]
     ok = at == doc[window - 1 :] if len(runs) else np.empty(0, bool)
     place = np.flatnonzero(ok)
-    again = place[_repeated(runs[place] ^ mix(at[place].astype(np.uint64) + np.uint64(1)))]
+    again = place[_repeated(runs[place] ^ mix(at[place].astype(np.uint64) + np.uint64(1)), place, kinds, doc, window)]
     mark = np.zeros(len(starts) + 1, np.int64)
     np.add.at(mark, again, 1)
     np.add.at(mark, again + window, -1)
@@ -81,8 +95,8 @@ def statistics(chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     line_start[first] = chunk.off[:-1]
     solid = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
     s, e, of = line_start[solid], line_end[solid], of[solid]
-    key = hash_spans(buf, s, e) ^ mix(of.astype(np.uint64) + np.uint64(1))
-    _, once = np.unique(key, return_index=True)
+    lines, line_kind = distinct_spans(buf, s, e)
+    _, once = np.unique(of * max(1, len(lines)) + line_kind, return_index=True)
     n_dup = np.bincount(of, minlength=n) - np.bincount(of[once], minlength=n)
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": chunk.count(_SYMBOL[buf]), "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "base_failed": (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)}
 

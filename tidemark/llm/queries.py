@@ -27,10 +27,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate components of all documents by 5-word shingles."""
+    """Near-duplicate components and numbers of links of all documents by 5-word shingles."""
     from tidemark.llm.ngramjoin import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), count_links=True)
 
 
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,8 +121,9 @@ ORACLE_SQL: dict[str, str] = {
         o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
         link AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 80 * (p.size + q.size - shared)),
         reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-        SELECT w.doc_id, coalesce(size, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
-        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)""",
+        SELECT w.doc_id, coalesce(size, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id, coalesce(n_links, 0) AS n_links
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)
+             LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a) USING (doc_id)""",
     "op5_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS winner FROM p)

@@ -20,12 +20,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.textkit import _BASE, _INV, _LETTERS, Chunk, _power, hash_spans, map_text, mix
+from tidemark.llm.textkit import Chunk, distinct_spans, map_text, mix
 
 _LONG = 192
 _CELLS = 1 << 21
 MARK = "▁"
 
+# Substrings of short segments are hashed by differences of running sums; what a hash finds is compared byte by byte.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = np.array([pow(_BASE, k, 1 << 64) for k in range(_LONG + 1)], np.uint64)
+_BACK = np.array([pow(_BASE, -k, 1 << 64) for k in range(_LONG + 1)], np.uint64)
+_LETTERS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _running(rows: np.ndarray) -> np.ndarray:
+    """Running sums of each row's letters, each times the power of its place."""
+    total = np.zeros((rows.shape[0], rows.shape[1] + 1), np.uint64)
+    np.cumsum(_LETTERS[rows] * _POWERS[: rows.shape[1]], axis=1, out=total[:, 1:])
+    return total
+
+
+def _substring_keys(sums: np.ndarray, at: int, width: int) -> np.ndarray:
+    """Keys of the substrings of ``width`` bytes that start at ``at``, from the differences of running sums."""
+    return mix(sums * _BACK[at] + np.uint64(width))
+
 
 class Pieces:
     """Sorted piece keys with ids and scores, and each id's bytes."""
@@ -51,12 +69,18 @@ class Pieces:
         if (self.byte_id < 0).any():
             raise ValueError("the model has no byte pieces")
         size = np.array([len(text[i]) for i in ids])
-        buf = np.frombuffer(b"".join(text[i] for i in ids), np.uint8)
-        end = np.cumsum(size)
-        keys = hash_spans(buf, end - size, end)
-        order = np.argsort(keys)
-        self.keys, self.ids, self.scores = keys[order], np.array(ids, np.int32)[order], np.array(scores, np.float64)[order]
         self.longest = int(size.max())
+        if self.longest > _LONG:
+            raise ValueError(f"a piece has more than {_LONG} bytes")
+        letters = np.zeros((len(ids), self.longest), np.uint8)
+        for row, i in enumerate(ids):
+            letters[row, : size[row]] = np.frombuffer(text[i], np.uint8)
+        sums = _running(letters)[np.arange(len(ids)), size]
+        keys = mix(sums + size.astype(np.uint64))
+        order = np.argsort(keys)
+        if (keys[order][1:] == keys[order][:-1]).any():
+            raise ValueError("two pieces have one key")
+        self.keys, self.ids, self.scores, self.letters = keys[order], np.array(ids, np.int32)[order], np.array(scores, np.float64)[order], letters[order]
         self.unknown = float(min(scores)) - 10.0
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(keys >> np.uint64(44)).astype(np.int64)] = True
@@ -78,9 +102,7 @@ class Pieces:
     def best(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For an n x L matrix of equally long segments: (ids, segment) in order of segment and position."""
         n, size = rows.shape
-        total = np.zeros((n, size + 1), np.uint64)
-        np.cumsum(_LETTERS[rows] * _power(_BASE, size), axis=1, out=total[:, 1:])
-        back_power = _power(_INV, size)
+        total = _running(rows)
         score = np.full((n, size + 1), -np.inf)
         score[:, 0] = 0
         step, piece = np.zeros((n, size + 1), np.int32), np.full((n, size + 1), -1, np.int32)
@@ -95,9 +117,11 @@ class Pieces:
                 live = np.flatnonzero(score[:, at] > -np.inf)
                 if not len(live):
                     continue
-                keys = mix((total[live, end] - total[live, at]) * back_power[at] + np.uint64(width))
-                pos, key = self.probe(keys)
+                pos, key = self.probe(_substring_keys(total[live, end] - total[live, at], at, width))
                 r = live[pos]
+                same = (rows[r, at:end] == self.letters[key, :width]).all(axis=1)
+                if not same.all():
+                    pos, key, r = pos[same], key[same], r[same]
                 value = score[r, at] + self.scores[key]
                 gain = value > best[r]
                 r, key = r[gain], key[gain]
@@ -180,7 +204,7 @@ class Pieces:
         begin[first] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(buf))
-        _, one, back = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
+        one, back = distinct_spans(buf, starts, ends)
         s, size = starts[one], (ends - starts)[one]
         ids_of, seg_of = [], []
         order = np.argsort(size, kind="stable")

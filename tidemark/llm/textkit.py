@@ -7,16 +7,17 @@ ASCII, so words can be cut on UTF-8 bytes. Null texts count as empty.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_BYTES = 4 << 20
-_BLOCK = 1 << 18
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -24,18 +25,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15
-_INV = pow(_BASE, -1, 1 << 64)
-_LETTERS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = {_BASE: np.ones(1, np.uint64), _INV: np.ones(1, np.uint64)}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers[base]
-    if len(have) < n:
-        steps = np.full(max(n, _BLOCK), base, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
+#: Keeps the low 0 to 8 bytes of a little-endian block.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Spans longer than this are hashed one by one.
+_LONG_SPAN = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -83,22 +76,64 @@ class Chunk:
         return total[self.off[1:]] - total[self.off[:-1]]
 
 
+def _blocks(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as one little-endian number; zeros follow the end."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
 def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span; spans are sorted and do not overlap. Works in cache-sized blocks."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        a = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, a + _BLOCK, side="right")))
-        z = ends[j - 1]
-        part = _LETTERS[buf[a:z]]
-        part *= _power(_BASE, z - a)
-        total = np.zeros(z - a + 1, np.uint64)
-        np.cumsum(part, out=total[1:])
-        s, e = starts[i:j] - a, ends[i:j] - a
-        out[i:j] = (total[e] - total[s]) * _power(_INV, z - a)[s] + (e - s).astype(np.uint64)
-        i = j
-    return mix(out)
+    """64-bit hash of each span: its length and blocks of eight bytes, chained through a bijective mixer.
+
+    Different spans of one length up to eight bytes never collide; longer ones do so as random 64-bit numbers do.
+    """
+    blocks, size = _blocks(buf), ends - starts
+    out = mix(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(1))
+    live = np.flatnonzero((size > 0) & (size <= _LONG_SPAN))
+    at, left = starts[live], size[live]
+    while len(live):
+        out[live] = mix(out[live] ^ (blocks[at] & _KEEP[np.minimum(left, 8)]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG_SPAN):
+        out[i] ^= np.uint64(int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little"))
+    return out
+
+
+def same_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span has the bytes of the other one."""
+    blocks, size = _blocks(buf), ends - starts
+    same = size == other_ends - others
+    live = np.flatnonzero(same & (size > 0) & (size <= _LONG_SPAN))
+    a, b, left = starts[live], others[live], size[live]
+    while len(live):
+        keep = _KEEP[np.minimum(left, 8)]
+        equal = blocks[a] & keep == blocks[b] & keep
+        same[live[~equal]] = False
+        more = equal & (left > 8)
+        live, a, b, left = live[more], a[more] + 8, b[more] + 8, left[more] - 8
+    for i in np.flatnonzero(same & (size > _LONG_SPAN)):
+        same[i] = np.array_equal(buf[starts[i] : ends[i]], buf[others[i] : other_ends[i]])
+    return same
+
+
+def distinct_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a span of each kind, kind of each span); spans are of one kind if their bytes are equal, whatever their hashes."""
+    _, first, back = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
+    rep = first[back]
+    check = np.flatnonzero(rep != np.arange(len(rep)))
+    odd = check[~same_spans(buf, starts[check], ends[check], starts[rep[check]], ends[rep[check]])]
+    if len(odd):
+        kinds, more = {}, []
+        for i in odd:
+            key = buf[starts[i] : ends[i]].tobytes()
+            if key not in kinds:
+                kinds[key] = len(first) + len(more)
+                more.append(i)
+            back[i] = kinds[key]
+        first = np.concatenate((first, np.array(more, first.dtype)))
+    return first, back
 
 
 def sequence_hash(h: np.ndarray, width: int) -> np.ndarray:
@@ -109,7 +144,8 @@ def sequence_hash(h: np.ndarray, width: int) -> np.ndarray:
     out = h[:n].copy()
     for k in range(1, width):
         out *= np.uint64(_BASE)
-        out += h[k : k + n]
+        out ^= h[k : k + n]
+        out ^= out >> np.uint64(31)
     return mix(out)
 
 
@@ -126,7 +162,7 @@ def shingles(words: np.ndarray, doc: np.ndarray, n_docs: int, width: int = 5) ->
         extra = np.empty(len(short), np.uint64)
         for k, d in enumerate(short):
             run = words[first[d] : first[d + 1]]
-            extra[k] = (int(sequence_hash(run, len(run))[0]) + len(run) * _INV) % (1 << 64)
+            extra[k] = (int(sequence_hash(run, len(run))[0]) + len(run) * _BASE) % (1 << 64)
         h, at = np.concatenate((h, mix(extra))), np.concatenate((at, short))
         order = np.argsort(at, kind="stable")
         h, at = h[order], at[order]
@@ -150,14 +186,27 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         i = j
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that no column in ``taken`` has, in any case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
+def named(column: str) -> F.Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch], dict], fields: list[T.StructField], keep: list[str]) -> DataFrame:
     """One row per input row: the ``keep`` columns, then ``fields`` as computed by ``fn(chunk, rows)``.
 
-    Row-wise, so repeated ids stay repeated. Output fields must not clash with ``keep``.
+    Row-wise, so repeated ids stay repeated. Output fields must not clash with ``keep``; columns of ``df`` may have any name.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
+    source = _with_text(df, text_col, keep)
     schema = T.StructType([*(source.schema[c] for c in keep), *fields])
     arrow = to_arrow_schema(schema)
 
@@ -172,9 +221,13 @@ def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch],
     return source.mapInArrow(run, schema)
 
 
+def _with_text(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    return df.select(*map(named, keep), named(text_col).cast("string").alias(free_name("__text", keep)))
+
+
 def fold_text(df: DataFrame, text_col: str, new_state: Callable, step: Callable, finish: Callable, schema: T.StructType, keep: list[str]) -> DataFrame:
     """Per input partition: ``state = new_state()``, ``step(state, chunk, rows)`` (may yield batches), ``finish(state)`` yields batches."""
-    source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
+    source = _with_text(df, text_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = new_state()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.textkit import Chunk, HashIndex, hash_spans, map_text
+from tidemark.llm.textkit import Chunk, HashIndex, distinct_spans, map_text
 
 MARK = "▁".encode()
 _LONG = 64
@@ -142,7 +142,7 @@ def token_counts(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
     def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
         starts, ends, doc = chunk.words()
-        _, first, back = np.unique(hash_spans(chunk.buf, starts, ends), return_index=True, return_inverse=True)
+        first, back = distinct_spans(chunk.buf, starts, ends)
         pieces = automaton.lengths(chunk.buf, starts[first], ends[first])[back]
         unknown = pieces < 0
         tokens = np.bincount(doc, weights=np.where(unknown, 1, pieces), minlength=chunk.n).astype(np.int64)

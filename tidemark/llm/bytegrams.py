@@ -5,15 +5,17 @@ symbols. A *gram* packs ``order`` context bytes and the next byte into the low `
 what is left above them may hold a 16-bit tag (of a language, say). Lower-order grams are the suffixes of the top ones,
 so only top grams are ever counted from texts.
 
-A model of more than ``MAX_ENTRIES`` top grams is built in shards by the last two context bytes, one at a time through the
-driver; each shard scores the positions that fall into it, and a text's score is the sum over shards. Tasks load all
-shards, so their memory follows the number of distinct grams, which levels off with byte n-grams of natural text but has
-no hard bound. Grams of up to two context bytes (at most 2^24 a tag) are shared by all shards.
+A model of more than ``MAX_ENTRIES`` top grams is built and broadcast in shards by the last two context bytes, one after
+another: each scores the positions that fall into it in a pass of its own over the texts, and a text's score is the sum
+over passes. So neither driver nor tasks ever hold more than one shard, whatever the corpus; what grows is the number of
+passes. Grams of up to two context bytes (at most 2^24 a tag) are shared by all shards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.textkit import IS_SPACE, LOWER, Chunk, HashIndex, KeyCounter, map_text, sum_by_key
+from tidemark.llm.store import cut
+from tidemark.llm.textkit import IS_SPACE, LOWER, Chunk, HashIndex, KeyCounter, free_name, map_text, named, sum_by_key
 
 SYMBOLS = 257
+#: Top grams of a shard.
 MAX_ENTRIES = 6_000_000
 
 
@@ -132,22 +136,93 @@ def _collected(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys, n
 
 
-def models(grams: DataFrame, build: Callable, order: int, continuation: bool, max_entries: int = MAX_ENTRIES) -> list:
-    """``build(levels, shard_levels)`` for each shard of ``grams`` (key, n), one at a time through the driver.
+def tally(counts: np.ndarray) -> np.ndarray:
+    """Numbers of grams counted once, twice, three and four times."""
+    return np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
 
-    ``grams`` must be materialised. The number of shards follows its size, so each model is bounded.
+
+def _tallies(grams: DataFrame, order: int, continuation: bool) -> dict[int, np.ndarray]:
+    """``tally`` of the levels that shards hold in part (more than two context bytes), counted on the executors."""
+    out, level = {}, grams.select("key", "n")
+    for j in range(order, 2, -1):
+        if j < order:
+            n = F.count("*") if continuation else F.sum("n")
+            level = level.groupBy(F.col("key").bitwiseAND(F.lit(int(level_mask(j, order).view(np.int64)))).alias("key")).agg(n.alias("n"))
+        got = dict(level.filter("n <= 4").groupBy("n").count().collect())
+        out[j] = np.array([got.get(k, 0) for k in (1, 2, 3, 4)], np.int64)
+    return out
+
+
+def models(grams: DataFrame, build: Callable, order: int, continuation: bool, max_entries: int | None = None) -> Iterator[tuple[int, int, object]]:
+    """(shard, number of shards, ``build(levels, tallies)``) of ``grams`` (key, n), one at a time through the driver.
+
+    ``grams`` must be materialised. The number of shards follows its size, so each model is bounded. ``tallies`` has the
+    counts of counts of levels that a shard holds in part only.
     """
-    entries = grams.count()
-    shards = max(1, -(-entries // max_entries))
+    shards = max(1, -(-grams.count() // (max_entries or MAX_ENTRIES)))
     if shards == 1:
-        return [build(Levels(*_collected(grams), order, None, continuation))]
+        yield 0, 1, build(Levels(*_collected(grams), order, None, continuation), {})
+        return
     mask = int(level_mask(2, order).view(np.int64))
     if continuation:
         third = grams.select(F.col("key").bitwiseAND(F.lit(int(level_mask(3, order).view(np.int64)))).alias("key")).distinct()
         low = third.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.count("*").alias("n"))
     else:
         low = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-    shared = sum_by_key(*_collected(low))
-    cut = grams.select("key", "n").mapInArrow(_shard_column(shards, order), T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shard", T.IntegerType())]))
-    one = lambda s: Levels(*_collected(cut.filter(F.col("shard") == s).select("key", "n")), order, shared, continuation)
-    return build.over_shards(one, shards)
+    shared, tallies = sum_by_key(*_collected(low)), _tallies(grams, order, continuation)
+    part = grams.select("key", "n").mapInArrow(_shard_column(shards, order), T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shard", T.IntegerType())]))
+    for s in range(shards):
+        yield s, shards, build(Levels(*_collected(part.filter(F.col("shard") == s).select("key", "n")), order, shared, continuation), tallies)
+
+
+def score_texts(df: DataFrame, text_col: str, keep: list[str], shards: Iterator[tuple[int, int, object]], order: int, describe: Callable, fields: list[T.StructField], score: str, tags: Callable | None = None) -> DataFrame:
+    """``keep``, ``fields`` as ``describe(chunk, rows, words, stream)`` gives them, and ``score``: log10 probability of each text's symbols.
+
+    ``tags(rows)`` gives each row's tag. Passes after the first one are joined by digests of text and tag, so they need
+    neither unique ids nor rows that come in the same order again.
+    """
+    spark, out, parts = df.sparkSession, None, []
+    names = [free_name(x, [*keep, *(f.name for f in fields), score]) for x in ("__k1", "__k2", "__part")]
+    keys = [T.StructField(c, T.LongType()) for c in names[:2]]
+
+    def prepared(chunk: Chunk, rows: pa.RecordBatch) -> tuple:
+        tag = tags(rows) if tags else None
+        words = chunk.words()
+        return words, Stream(chunk, words, order, tag), tag
+
+    def partial(stream: Stream, s: int, n: int, model) -> np.ndarray:
+        if n == 1:
+            return np.add.reduceat(model.value.score(stream.keys), stream.off[:-1])
+        own = np.flatnonzero(shard_of(stream.keys, n, order) == s)
+        got = np.zeros(len(stream.keys))
+        got[own] = model.value.score(stream.keys[own])
+        return np.add.reduceat(got, stream.off[:-1])
+
+    def digests(chunk: Chunk, tag: np.ndarray | None) -> dict:
+        got = [hashlib.blake2b(chunk.bytes_of(i) + (b"" if tag is None else int(tag[i]).to_bytes(2, "big")), digest_size=16).digest() for i in range(chunk.n)]
+        both = np.frombuffer(b"".join(got), "<i8").reshape(-1, 2)
+        return dict(zip(names[:2], both.T.copy(), strict=True))
+
+    for s, n, built in shards:
+        model = spark.sparkContext.broadcast(built)
+        if s == 0:
+
+            def first(chunk: Chunk, rows: pa.RecordBatch, model=model, n=n) -> dict:
+                words, stream, tag = prepared(chunk, rows)
+                return describe(chunk, rows, words, stream) | {score: partial(stream, 0, n, model)} | (digests(chunk, tag) if n > 1 else {})
+
+            out = map_text(df, text_col, first, [*fields, T.StructField(score, T.DoubleType()), *(keys if n > 1 else [])], keep)
+            if n == 1:
+                return out
+            out = cut(out)
+        else:
+
+            def later(chunk: Chunk, rows: pa.RecordBatch, model=model, s=s, n=n) -> dict:
+                _, stream, tag = prepared(chunk, rows)
+                return digests(chunk, tag) | {names[2]: partial(stream, s, n, model)}
+
+            got = map_text(df, text_col, later, [*keys, T.StructField(names[2], T.DoubleType())], keep).select(*names)
+            parts.append(cut(got.dropDuplicates(names[:2])))
+        model.destroy()
+    rest = functools.reduce(DataFrame.unionByName, parts).groupBy(*names[:2]).agg(F.sum(names[2]).alias(names[2]))
+    return out.join(rest, names[:2]).withColumn(score, named(score) + named(names[2])).drop(*names)

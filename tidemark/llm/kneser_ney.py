@@ -4,12 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.bytegrams import SYMBOLS, Levels, Table, level_mask, rows_of
-
-
-def tally(counts: np.ndarray) -> np.ndarray:
-    """Numbers of grams counted once, twice, three and four times."""
-    return np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64)
+from tidemark.llm.bytegrams import SYMBOLS, Levels, Table, level_mask, rows_of, tally
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -62,21 +57,6 @@ class KneserNey:
         return out
 
 
-class Builder:
-    """Builds one model, or one for each shard with discounts of the whole table."""
-
-    def __call__(self, levels: Levels) -> list[KneserNey]:
-        return KneserNey(levels, [discounts(tally(c)) for c in levels.counts])
-
-    def over_shards(self, load, shards: int) -> list[KneserNey]:
-        counts = None
-        for s in range(shards):
-            levels = load(s)
-            if counts is None:
-                counts = np.zeros((levels.order + 1, 4), np.int64)
-            for j in range(levels.order + 1):
-                if j > 2:
-                    counts[j] += tally(levels.counts[j])
-                elif s == 0:
-                    counts[j] = tally(levels.counts[j])
-        return [KneserNey(load(s), [discounts(n) for n in counts]) for s in range(shards)]
+def build(levels: Levels, tallies: dict[int, np.ndarray]) -> KneserNey:
+    """A model, or a shard of one with the discounts of the whole table, whose ``tallies`` it is given where it holds a level in part."""
+    return KneserNey(levels, [discounts(tallies[j] if j in tallies else tally(c)) for j, c in enumerate(levels.counts)])

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.textkit import Chunk, map_text
@@ -269,22 +270,23 @@ def mask_text(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def mask_pii(df: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns with identifiers masked in ``text_col`` and ``chars_col`` counted anew; null texts stay null."""
-    from pyspark.sql import functions as F
-
-    keep = [c for c in df.columns if c != text_col]
+    names = [f"c{k}" for k in range(len(df.columns))]
+    at = df.columns.index(text_col)
 
     def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
         texts = rows.column(rows.num_columns - 1)
         found = find_spans(pc.fill_null(texts, ""), chunk)
         if not found:
-            return {"__masked": texts}
+            return {"masked": texts}
         out = texts.to_pylist()
         for i, (plain, more) in found.items():
             out[i] = mask_text(out[i], [*plain, *more])
-        return {"__masked": pa.array(out, pa.string())}
-
-    out = map_text(df, text_col, step, [T.StructField("__masked", T.StringType())], keep)
-    columns = {text_col: F.col("__masked")}
-    if chars_col in keep:
-        columns[chars_col] = F.when(F.col("__masked").isNull(), F.col(chars_col)).otherwise(F.length("__masked")).cast(df.schema[chars_col].dataType)
-    return out.select(*[columns.get(c, F.col(c)).alias(c) for c in df.columns])
+        return {"masked": pa.array(out, pa.string())}
+
+    # Columns go by place, so any names may stand beside.
+    out = map_text(df.toDF(*names), names[at], step, [T.StructField("masked", T.StringType())], [c for c in names if c != names[at]])
+    columns = {c: F.col(c) for c in names} | {names[at]: F.col("masked")}
+    if chars_col in df.columns:
+        chars = names[df.columns.index(chars_col)]
+        columns[chars] = F.when(F.col("masked").isNull(), F.col(chars)).otherwise(F.length("masked")).cast(df.schema[chars_col].dataType)
+    return out.select(*[columns[c].alias(c) for c in names]).toDF(*df.columns)

@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.bytegrams import COUNT_SCHEMA, SYMBOLS, Levels, Stream, Table, emit, level_mask, models, rows_of, shard_of
+from tidemark.llm.bytegrams import COUNT_SCHEMA, SYMBOLS, Levels, Stream, Table, emit, level_mask, models, rows_of, score_texts
 from tidemark.llm.store import cut
-from tidemark.llm.textkit import LOWER, Chunk, KeyCounter, fold_text, hash_spans, map_text
+from tidemark.llm.textkit import LOWER, Chunk, KeyCounter, fold_text, hash_spans, named
 
 #: Context bytes.
 ORDER = 5
@@ -93,12 +93,8 @@ class Ppm:
         return out
 
 
-class Builder:
-    def __call__(self, levels: Levels) -> Ppm:
-        return Ppm(levels)
-
-    def over_shards(self, load, shards: int) -> list[Ppm]:
-        return [Ppm(load(s)) for s in range(shards)]
+def build(levels: Levels, tallies: dict) -> Ppm:
+    return Ppm(levels)
 
 
 def _held_out(ids: pa.Array) -> np.ndarray:
@@ -116,6 +112,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and ``score`` (this model), both log10.
     """
     spark = df.sparkSession
+    source = df.select(named(id_col).alias("id"), named(text_col).alias("text"))
 
     def gather(state: list, chunk: Chunk, rows: pa.RecordBatch):
         grams, words_seen, ends = state
@@ -134,9 +131,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if ends[0]:
             yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array(ends)], names=["kind", "key", "n"])
 
-    gathered = fold_text(df, text_col, lambda: [KeyCounter(), KeyCounter(), [0]], gather, flush, COUNT_SCHEMA, [id_col])
+    gathered = fold_text(source, "text", lambda: [KeyCounter(), KeyCounter(), [0]], gather, flush, COUNT_SCHEMA, ["id"])
     counts = cut(gathered.groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    shards = [spark.sparkContext.broadcast(m) for m in models(cut(counts.filter("kind = 0").select("key", "n")), Builder(), order, continuation=False)]
     words = counts.filter("kind = 1").select("key", "n")
     total = {r.kind: (r.n, r.kinds) for r in counts.filter("kind > 0").groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     ends = total.get(2, (0, 0))[0]
@@ -147,16 +143,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot_table = spark.sparkContext.broadcast((Table(keys[by_key]), hot.column(1).to_numpy().astype(np.int64)[by_key]))
     log_total = float(np.log10(n_train + n_kinds + 1))
 
-    def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
-        parts = chunk.words()
+    def describe(chunk: Chunk, rows: pa.RecordBatch, parts: tuple, stream: Stream) -> dict:
         doc = parts[2]
-        stream = Stream(chunk, parts, order)
-        if len(shards) == 1:
-            score = shards[0].value.score(stream.keys)
-        else:
-            own, score = shard_of(stream.keys, len(shards), order), np.zeros(len(stream.keys))
-            for s, model in enumerate(shards):
-                score[own == s] = model.value.score(stream.keys[own == s])
         index, count = hot_table.value
         key = _word_keys(chunk, parts)
         row = index.find(key)
@@ -168,17 +156,18 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "n_tokens": n_words + 1,
             "hot_known": np.bincount(doc[known], minlength=chunk.n),
             "hot_base": base + np.log10(ends + 1.0) - log_total * (n_words + 1),
-            "score": np.add.reduceat(score, stream.off[:-1]),
             "rare": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc[rare], minlength=chunk.n)))), pa.int32()), pa.array(key[rare].view(np.int64))),
         }
 
-    fields = [T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "hot_known")), *(T.StructField(c, T.DoubleType()) for c in ("hot_base", "score")), T.StructField("rare", T.ArrayType(T.LongType()))]
-    scored = cut(map_text(df, text_col, step, fields, [id_col]).withColumn("__row", F.monotonically_increasing_id()))
+    fields = [T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "hot_known")), T.StructField("hot_base", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType()))]
+    grams = cut(counts.filter("kind = 0").select("key", "n"))
+    scored = score_texts(source, "text", ["id"], models(grams, build, order, continuation=False), order, describe, fields, "score")
+    scored = cut(scored.withColumn("__row", F.monotonically_increasing_id()))
     rare = scored.select("__row", F.explode("rare").alias("key")).groupBy("__row", "key").agg(F.count("*").alias("times"))
     found = rare.join(words, "key").groupBy("__row").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_base"))
     out = scored.drop("rare").join(found, "__row", "left")
     return out.select(
-        id_col,
+        F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
         (F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),

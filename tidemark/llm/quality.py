@@ -1,18 +1,22 @@
 """Quality rules: word and line statistics, and language-specific perplexity bands.
 
-A modified Kneser-Ney model of byte 5-grams is counted with Spark for each language over the texts that pass the plain
-rules and hold few symbols, and held in sorted arrays with hashed lookup. Every text gets its log10 perplexity a symbol; it is rejected above
-the upper or below the lower edge of its language's band. Edges come from the quartiles of the same texts: quartile -/+ ``spread`` times the quartile distance (at least ``floor``), widened for short texts by
-``1 + short / n_symbols``. Quartiles come from exact counts by 0.001 of log perplexity, so they do not depend on how
-rows are dealt.
-
-Null and empty texts have no words and fail the plain rules. A null language is a language of its own. Repeated rows
-each get a row. Tables may be empty; then the result is empty too.
+A modified Kneser-Ney model of byte 5-grams is counted with Spark for each language, and held in sorted arrays with
+hashed lookup. It learns from a reference: the texts that pass the plain rules and have at most ``MAX_SYMBOL_PERCENT``
+symbols a hundred words, since a model that has read the noise finds it as likely as prose. Being outside the
+reference rejects no text. Every text gets its log10 perplexity a symbol, and is rejected above the upper or below the lower edge of its language's
+band. Edges come from the reference's quartiles: quartile -/+ ``spread`` times the quartile distance (at least ``floor``),
+widened for short texts by ``1 + short / n_symbols``. Quartiles come from exact counts by 0.001 of log perplexity, so
+they do not depend on how rows are dealt.
+
+Null and empty texts have no words and fail the plain rules. A null language is a language of its own; one without
+reference texts has no band, and its texts are judged by the plain rules alone. Repeated rows each get a row. Tables may
+be empty; then the result is empty too. Columns of any name may stand beside: kept columns that are named like a result
+give way to it in ``judge``, and ``keep_good`` returns all columns as they are.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.bytegrams import COUNT_SCHEMA, Stream, emit, models, shard_of
-from tidemark.llm.kneser_ney import Builder
+from tidemark.llm.bytegrams import COUNT_SCHEMA, Stream, emit, models, score_texts
+from tidemark.llm.kneser_ney import build
 from tidemark.llm.store import cut
-from tidemark.llm.textkit import Chunk, KeyCounter, distinct_spans, fold_text, map_text, mix, sequence_hash
+from tidemark.llm.textkit import Chunk, KeyCounter, distinct_spans, fold_text, mix, named, sequence_hash
 
 #: Context bytes of the perplexity model.
 ORDER = 4
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: Texts with more symbols a hundred words than this teach neither models nor bands.
+#: The reference's texts have at most so many symbols a hundred words.
 MAX_SYMBOL_PERCENT = 10
+#: Tags of languages are 16 bits; the last one is null.
+MAX_LANGUAGES = 0xFFFF
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -101,56 +107,53 @@ def statistics(chunk: Chunk, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": chunk.count(_SYMBOL[buf]), "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "base_failed": (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)}
 
 
-def _models_on(stats: dict[str, np.ndarray]) -> np.ndarray:
-    """Texts that teach the models: those that pass the plain rules and aren't strewn with symbols."""
+def _is_reference(stats: dict[str, np.ndarray]) -> np.ndarray:
+    """Texts that teach models and bands."""
     return ~stats["base_failed"] & (100 * stats["n_symbols"] <= MAX_SYMBOL_PERCENT * stats["n_words"])
 
 
-def _tags(langs: pa.Array) -> np.ndarray:
-    return np.array([0xFFFF if x is None else zlib.crc32(x.encode()) % 0xFFFF for x in langs.to_pylist()], np.uint64)
+def _tagger(df: DataFrame, lang_col: str) -> Callable[[pa.Array], np.ndarray]:
+    """Tags of languages by their place in order, from the distinct values."""
+    langs = df.select(named(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values")
+    place = {x: k for k, x in enumerate(sorted(r[0] for r in langs))}
+    return lambda values: np.array([MAX_LANGUAGES if x is None else place[x] for x in values.to_pylist()], np.uint64)
 
 
-def perplexity_models(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list:
-    """Kneser-Ney models (shards, usually one) over the texts that pass the plain rules."""
+def perplexity_models(df: DataFrame, text_col: str, lang_col: str, tags: Callable) -> Iterator:
+    """Kneser-Ney models (shards, usually one) of the reference texts."""
 
     def step(counter: KeyCounter, chunk: Chunk, rows: pa.RecordBatch):
         words = chunk.words()
-        counter.add(Stream(chunk, words, ORDER, _tags(rows.column(0))).select(_models_on(statistics(chunk, words))))
+        counter.add(Stream(chunk, words, ORDER, tags(rows.column(0))).select(_is_reference(statistics(chunk, words))))
         return emit(counter) if counter.full() else []
 
     counted = fold_text(df, text_col, KeyCounter, step, emit, COUNT_SCHEMA, [lang_col])
-    return models(cut(counted.groupBy("key").agg(F.sum("n").alias("n"))), Builder(), ORDER, continuation=True)
+    return models(cut(counted.groupBy("key").agg(F.sum("n").alias("n"))), build, ORDER, continuation=True)
+
+
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+_RESULTS = {f"q_{c}" for c in (*_COUNTS, "base_failed", "log_ppl", "length", "low", "high", "kept")}
 
 
 def score_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns and ``q_*`` statistics, ``q_log_ppl`` (log10 perplexity a symbol) and ``q_length`` (symbols)."""
-    shards = [df.sparkSession.sparkContext.broadcast(m) for m in perplexity_models(df, text_col, lang_col)]
-    keep = [*(keep if keep is not None else df.columns)]
+    """The ``keep`` columns and ``q_*`` statistics, ``q_log_ppl`` (log10 perplexity a symbol), ``q_length`` (symbols) and ``__lang``."""
+    keep = [c for c in (keep if keep is not None else df.columns) if c.lower() not in {*_RESULTS, "__lang", "__body", "__band"}]
+    source = df.select(*map(named, keep), named(lang_col).cast("string").alias("__lang"), named(text_col).alias("__body"))
+    tags = _tagger(source, "__lang")
 
-    def step(chunk: Chunk, rows: pa.RecordBatch) -> dict:
-        words = chunk.words()
-        out = {f"q_{k}": v for k, v in statistics(chunk, words).items()}
-        stream = Stream(chunk, words, ORDER, _tags(rows.column(len(keep))))
-        score = np.zeros(len(stream.keys))
-        if len(shards) == 1:
-            score = shards[0].value.score(stream.keys)
-        else:
-            own = shard_of(stream.keys, len(shards), ORDER)
-            for s, model in enumerate(shards):
-                score[own == s] = model.value.score(stream.keys[own == s])
-        length = np.diff(stream.off)
-        out["q_log_ppl"] = -np.add.reduceat(score, stream.off[:-1]) / length
-        out["q_length"] = length
-        return out
-
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    fields = [*(T.StructField(f"q_{c}", T.LongType()) for c in counts), T.StructField("q_base_failed", T.BooleanType()), T.StructField("q_log_ppl", T.DoubleType()), T.StructField("q_length", T.LongType())]
-    source = df.select(*keep, F.col(lang_col).alias("__lang"), F.col(text_col).alias("__body"))
-    return map_text(source, "__body", step, fields, [*keep, "__lang"])
+    def describe(chunk: Chunk, rows: pa.RecordBatch, words: tuple, stream: Stream) -> dict:
+        return {f"q_{k}": v for k, v in statistics(chunk, words).items()} | {"q_length": np.diff(stream.off)}
+
+    fields = [*(T.StructField(f"q_{c}", T.LongType()) for c in _COUNTS), T.StructField("q_base_failed", T.BooleanType()), T.StructField("q_length", T.LongType())]
+    shards = perplexity_models(source, "__body", "__lang", tags)
+    out = score_texts(source, "__body", [*keep, "__lang"], shards, ORDER, describe, fields, "q_log_ppl", lambda rows: tags(rows.column(len(keep))))
+    return out.withColumn("q_log_ppl", -F.col("q_log_ppl") / F.col("q_length"))
 
 
 def bands(scored: DataFrame, spread: float, floor: float) -> DataFrame:
-    """``__lang``, ``q_low`` and ``q_high``: the band of each language, from all texts that teach the models."""
+    """``__band`` (language), ``q_low`` and ``q_high``, from all reference texts."""
     by_bin = scored.filter(~F.col("q_base_failed") & (100 * F.col("q_n_symbols") <= MAX_SYMBOL_PERCENT * F.col("q_n_words"))).groupBy("__lang", F.floor(F.col("q_log_ppl") * 1000).alias("bin")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("__lang")
     ranked = by_bin.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("all", F.sum("n").over(w))
@@ -171,4 +174,6 @@ def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: l
 
 def keep_good(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``df`` whose text is kept, with the columns of ``df``."""
-    return judge(df, text_col, lang_col).filter("q_kept").select(*df.columns)
+    names = [f"c{k}" for k in range(len(df.columns))]
+    text, lang = names[df.columns.index(text_col)], names[df.columns.index(lang_col)]
+    return judge(df.toDF(*names), text, lang).filter("q_kept").select(*names).toDF(*df.columns)

@@ -199,30 +199,31 @@ def named(column: str) -> F.Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def _with_text(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns by place (Arrow functions take no names with dots) and, last, the text."""
+    return df.select(*(named(c).alias(f"c{k}") for k, c in enumerate(keep)), named(text_col).cast("string").alias("text"))
+
+
 def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch], dict], fields: list[T.StructField], keep: list[str]) -> DataFrame:
-    """One row per input row: the ``keep`` columns, then ``fields`` as computed by ``fn(chunk, rows)``.
+    """One row per input row: the ``keep`` columns, then ``fields`` as computed by ``fn(chunk, rows)``; ``rows`` go by place.
 
     Row-wise, so repeated ids stay repeated. Output fields must not clash with ``keep``; columns of ``df`` may have any name.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     source = _with_text(df, text_col, keep)
-    schema = T.StructType([*(source.schema[c] for c in keep), *fields])
-    arrow = to_arrow_schema(schema)
+    schema = T.StructType([*source.schema[:-1], *(T.StructField(f"f{k}", f.dataType) for k, f in enumerate(fields))])
+    kinds = [to_arrow_schema(T.StructType([f])).field(0).type for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep))
-            for i, j, chunk in chunks(texts):
+            for i, j, chunk in chunks(batch.column(len(keep))):
                 rows = batch.slice(i, j - i)
                 new = fn(chunk, rows)
-                yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in range(len(keep))), *(new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], arrow.field(f.name).type) for f in fields)], names=schema.names)
+                made = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in range(len(keep))), *made], names=schema.names)
 
-    return source.mapInArrow(run, schema)
-
-
-def _with_text(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    return df.select(*map(named, keep), named(text_col).cast("string").alias(free_name("__text", keep)))
+    return source.mapInArrow(run, schema).toDF(*keep, *(f.name for f in fields))
 
 
 def fold_text(df: DataFrame, text_col: str, new_state: Callable, step: Callable, finish: Callable, schema: T.StructType, keep: list[str]) -> DataFrame:

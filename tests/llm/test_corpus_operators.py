@@ -8,6 +8,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import annpartition, mixing, ngramjoin, warc
@@ -295,10 +296,59 @@ def test_neighbours_recall_and_exact_scores(spark):
     assert hit / (10 * len(out)) >= 0.9
 
 
+def exact_neighbours(x, ids, q, k=10):
+    """(vec_id, distance) of the nearest distinct ids of vector q, its own id left out."""
+    best = {}
+    for i, v in zip(ids, x, strict=True):
+        if i != ids[q]:
+            best[i] = min(best.get(i, math.inf), float(np.sqrt(((v - x[q]) ** 2).sum())))
+    return sorted(((d, i) for i, d in best.items()))[:k]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neighbours_recall_on_the_table_at_the_defaults(spark, sf):
+    """Against exact search over all rows; one part is exact, which numpy confirms."""
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    exact = annpartition.search(df, parts=1)
+    assert annpartition.recall(annpartition.search(df), exact) >= 0.9
+    rows = [(r.vec_id, r.embedding) for r in annpartition.valid(df, "vec_id", "embedding").select(F.col("id").alias("vec_id"), F.col("vec").alias("embedding")).collect()]
+    ids, x = [i for i, _ in rows], np.array([v for _, v in rows])
+    got = defaultdict(list)
+    for r in exact.filter("query_id % 500 = 0").orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    for q, found in got.items():
+        want = exact_neighbours(x, ids, ids.index(q))
+        assert [i for _, i in found] == [i for _, i in want] and np.allclose([d for d, _ in found], [d for d, _ in want])
+
+
+def test_neighbours_with_repeated_ids(spark):
+    """An id that is repeated near a query takes one place, not all of them; the rest come from other parts."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(30, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, (x[0] + 1e-3 * k).tolist()) for k in range(15)]
+    for parts in (None, 5):
+        got = annpartition.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=parts).orderBy("rank").collect()
+        want = exact_neighbours(np.array([v for _, v in rows]), [i for i, _ in rows], 0)
+        assert [(r.query_id, r["rank"]) for r in got] == [(0, k) for k in range(1, 11)]
+        assert len({r.vec_id for r in got}) == 10 and got[0].vec_id == 7 and abs(got[0].score - want[0][0]) < 1e-12
+    few = [(0, [1.0, 2.0])] + [(3, [1.0, k / 9]) for k in range(40)] + [(4, [9.0, 9.0])]
+    got = annpartition.search(spark.createDataFrame(few, "vec_id long, embedding array<double>"), parts=4).collect()
+    assert sorted((r.vec_id, r["rank"]) for r in got) == [(3, 1), (4, 2)]
+
+
+def test_parts_are_balanced_over_all_rows(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(6000, 8)), rng.normal(size=(2000, 8)) * 0.1 + 3])
+    df = annpartition.valid(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    router = annpartition.build_router(df, 2000, 10)
+    sizes = annpartition._sizes(annpartition._assigned(df, router), 10)
+    assert sizes.sum() == 8000 and sizes.max() < 1.7 * sizes.mean()
+
+
 def test_neighbours_of_few(spark):
-    df = spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 1.0]), (200, [1.0]), (201, [3.0]), (300, []), (None, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in annpartition.search(df).collect())
-    assert got == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0)]
+    assert got == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0), (200, 1, 201)]
     assert annpartition.search(df.limit(0)).count() == 0
 
 

@@ -6,7 +6,8 @@ first choose the family, then the language within it; votes decide, then summed
 
 The sample is bounded: about ``SAMPLE`` labelled texts a language at most and ``SAMPLE_ALL`` in all, chosen by a hash of the
 id, so it does not depend on how rows are dealt. Texts that are null or hold no letter are ``und`` with score 0, as is
-everything where no labelled text exists. Repeated rows each get a row.
+everything where no labelled text exists. Repeated rows each get a row; a table of more than ``MAX_LANGUAGES`` labels is
+refused. Empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tidemark.llm.textkit import IS_SPACE, LOWER, Chunk, map_text
 
 SAMPLE = 1000
 SAMPLE_ALL = 12_000
+#: More languages than this are refused: too few sampled texts would be left for each.
+MAX_LANGUAGES = SAMPLE_ALL // 8
 DIMS = 2048
 _ROWS = 512
 _FOLD = LOWER.copy()
@@ -144,7 +147,9 @@ def _bucket(id_col: str) -> F.Column:
 def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Hierarchy | None:
     """From labelled rows of which the CRC-32 of the id mod 4 is not 2."""
     labelled = df.filter((_bucket(id_col) != 2) & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(SAMPLE_ALL // 8).collect()}
+    counts = dict(labelled.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect())
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values")
     if not counts:
         return None
     each = min(SAMPLE, SAMPLE_ALL // len(counts))
@@ -156,7 +161,7 @@ def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Hierarchy |
         x = features(chunk)
         return {"letters": has_letter(chunk), "x": [v.astype(np.float32).tobytes() for v in x]}
 
-    got = map_text(chosen, text_col, step, [T.StructField("letters", T.BooleanType()), T.StructField("x", T.BinaryType())], [id_col, lang_col]).filter("letters").orderBy(id_col).toArrow()
+    got = map_text(chosen, text_col, step, [T.StructField("letters", T.BooleanType()), T.StructField("x", T.BinaryType())], [id_col, lang_col]).filter("letters").orderBy(id_col, lang_col, "x").toArrow()
     if not len(got):
         return None
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, DIMS)

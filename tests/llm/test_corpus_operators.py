@@ -1,5 +1,6 @@
 """Operators over whole corpora against brute force: mixing, join, WARC, nearest neighbours, pipeline."""
 
+import gzip
 import math
 import random
 import re
@@ -267,6 +268,15 @@ def test_warc_revisits_and_round_trip(spark):
     got = sorted(((r.page_id or 0), r.record_type, r.refers_to, r.payload_bytes) for r in warc.restore(archive).collect())
     size = len(long.encode())
     assert got == sorted([(0, "response", None, size), (1, "revisit", 3, size), (2, "revisit", 3, size), (3, "response", None, size), (4, "response", None, 5), (5, "response", None, 5), (6, "response", None, 0), (7, "response", None, 0), (8, "response", None, 1000), (8, "response", None, 1000), (9, "response", None, 999), (10, "response", None, 999)])
+    # Any reader of gzip members finds the mandatory headers, and a record at each member's offset.
+    names, members = [], 0
+    for content in [bytes(r.content) for r in spark.read.format("binaryFile").load(path).collect() if "part-" in r.path]:
+        for headers, _ in warc.parse(content):
+            assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(headers) and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", headers["WARC-Date"])
+            names.append(headers["WARC-Record-ID"])
+        assert gzip.decompress(content).count(b"WARC-Record-ID") == len(list(warc.parse(content)))
+        members += content.count(b"\x1f\x8b\x08")
+    assert len(names) == len(set(names)) == len(rows) and members >= 2 * len(rows)
     bodies = {r.page_id: r.payload for r in archive.filter("record_type = 'response'").collect()}
     assert bodies[3] == long and bodies[6] == "" and bodies[4] == "short"
     none = fresh_path(spark, "warc-none")

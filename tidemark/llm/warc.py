@@ -2,11 +2,15 @@
 
 ``resolve`` shuffles record headers only (id, digest, length) and names, of equal payloads of at least ``MIN_BYTES``
 bytes, the record with the largest id the response and every other one its revisit. ``write_archive`` writes one record
-a page with fresh headers, revisits without their payload, through Spark's writer, so the archive may lie in any store
-that Spark reaches. ``read_archive`` parses the files again by Content-Length and takes digests from the payload bytes.
-
-A null payload is empty. Rows with a null id are records too, but no response others refer to. Of repeated rows with
-one id each becomes a record of the same type; with equal payloads a repeated winner is the response every time.
+a page with fresh headers, revisits without their payload, each a gzip member of its own, so that a record can be read
+from its offset. Files are written by Spark's text writer, so the archive may lie in any store that Spark reaches (their
+names end as that writer's do): the line separator it puts after each record is an empty gzip member. They are dealt out
+by bytes, so a file holds about one partition's advisory size, whatever the sizes of pages.
+``read_archive`` parses the files again, one member at a time, and takes digests from the payload bytes.
+
+A null payload is empty, a null URL too. Rows with a null id are records too, but no response others refer to. Of repeated rows with
+one id each becomes a record of the same type, and its name gets a number; with equal payloads a repeated winner is the
+response every time, and references name the page. Tables may be empty; other columns are not read.
 """
 
 from __future__ import annotations
@@ -14,7 +18,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,9 +30,10 @@ from pyspark.sql import types as T
 from tidemark.llm.store import cut
 
 MIN_BYTES = 1000
-#: Payload bytes a file holds on average, before compression; the number of records a file follows from it.
-FILE_BYTES = 64 << 20
 _NAME = "urn:page:"
+#: A gzip member of nothing.
+_NOTHING = gzip.compress(b"", mtime=0)
+_LEVEL = 4
 
 
 def with_digest(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -45,31 +52,50 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return big.join(winners, "payload_digest").filter("page_id <> refers_to").select("page_id", "payload_digest", "refers_to").distinct()
 
 
-def records(pages: DataFrame, revisits: DataFrame) -> DataFrame:
-    """Record text of each page, from ``with_digest`` and ``resolve`` rows."""
-    joined = pages.join(revisits, ["page_id", "payload_digest"], "left")
-    again = F.col("refers_to").isNotNull()
+def decisions(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``refers_to`` of revisits and ``several`` (whether other records have the id) of the records (``page_id``, ``payload_digest``) that need either."""
+    ids = headers.filter("page_id IS NOT NULL").groupBy("page_id").agg(F.count("*").alias("n")).filter("n > 1")
+    several = headers.join(ids, "page_id", "left_semi").select("page_id", "payload_digest", F.lit(True).alias("several")).distinct()
+    return resolve(headers, min_bytes).join(several, ["page_id", "payload_digest"], "full")
+
+
+def records(pages: DataFrame, decided: DataFrame, date: str) -> DataFrame:
+    """Head and block of each page's record, from ``with_digest`` and ``decisions`` rows."""
+    joined = pages.join(decided, ["page_id", "payload_digest"], "left")
+    revisit = F.col("refers_to").isNotNull()
     crlf = "\r\n"
-    digest = _base32(F.col("payload_digest"))
-    body = F.when(again, F.lit("")).otherwise(F.col("payload"))
+    block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
+    number = F.when(F.col("several") | F.col("page_id").isNull(), F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string"))).otherwise(F.lit(""))
     head = F.concat(
         F.lit(f"WARC/1.1{crlf}WARC-Type: "),
-        F.when(again, "revisit").otherwise("response"),
+        F.when(revisit, "revisit").otherwise("response"),
         F.lit(f"{crlf}WARC-Record-ID: <{_NAME}"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        F.lit(f">{crlf}WARC-Target-URI: "),
+        number,
+        F.lit(f">{crlf}WARC-Date: {date}{crlf}WARC-Target-URI: "),
         url,
         F.lit(f"{crlf}WARC-Payload-Digest: sha1:"),
-        digest,
-        F.when(again, F.concat(F.lit(f"{crlf}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{crlf}WARC-Refers-To: <{_NAME}"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
+        _base32(F.col("payload_digest")),
+        F.when(revisit, F.concat(F.lit(f"{crlf}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{crlf}WARC-Refers-To: <{_NAME}"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
         F.lit(f"{crlf}Content-Type: text/html; charset=utf-8{crlf}Content-Length: "),
-        F.octet_length(body).cast("string"),
+        F.octet_length(block).cast("string"),
         F.lit(crlf + crlf),
-        body,
-        F.lit("\r\n\r"),  # the writer ends each row with the last newline
     )
-    return joined.select(head.alias("value"))
+    return joined.select(head.cast("binary").alias("head"), block.cast("binary").alias("block"))
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member."""
+    for batch in batches:
+        out, size = [], 0
+        for head, block in zip(batch.column(0), batch.column(1), strict=True):
+            out.append(gzip.compress(head.as_py() + block.as_py() + b"\r\n\r\n", _LEVEL, mtime=0))
+            size += len(out[-1])
+            if size >= 16 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+                out, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
 
 def _base32(hexadecimal):
@@ -79,30 +105,39 @@ def _base32(hexadecimal):
     return F.concat(*[F.substring(letters, F.shiftright(g, 35 - 5 * k).bitwiseAND(31).cast("int") + 1, F.lit(1)) for g in groups for k in range(8)])
 
 
-def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_BYTES) -> None:
-    """Gzip files of WARC records under ``path``."""
+def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_BYTES, date: str | None = None) -> None:
+    """Gzip files of WARC records under ``path``, all of one ``WARC-Date`` (now, unless given)."""
     full = with_digest(pages, id_col, url_col, html_col)
     headers = cut(full.select("page_id", "payload_bytes", "payload_digest"))
-    mean = headers.agg(F.avg("payload_bytes")).first()[0] or 0
-    records(full, resolve(headers, min_bytes)).write.option("compression", "gzip").option("maxRecordsPerFile", int(FILE_BYTES // (mean + 500)) + 1).text(path)
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    members = records(full, decisions(headers, min_bytes), date).mapInArrow(_members, "member binary").hint("rebalance")
+    members.select(F.col("member").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", _NOTHING.decode("latin-1")).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode().split("\r\n")
+    """(headers, block) of every record, one gzip member at a time."""
+    rest = memoryview(data)
+    while len(rest):
+        member = zlib.decompressobj(wbits=31)
+        record = member.decompress(rest)
+        if not member.eof:
+            raise ValueError("a gzip member is cut short")
+        rest = rest[len(rest) - len(member.unused_data) :]
+        if not record:
+            continue
+        stop = record.index(b"\r\n\r\n")
+        lines = record[:stop].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record: {lines[0][:80]}")
         headers = dict(x.split(": ", 1) for x in lines[1:])
-        size = int(headers["Content-Length"])
-        yield headers, data[stop + 4 : stop + 4 + size]
-        at = stop + 4 + size + 4
+        block = record[stop + 4 : -4]
+        if len(block) != int(headers["Content-Length"]) or record[-4:] != b"\r\n\r\n":
+            raise ValueError(f"{headers['WARC-Record-ID']}: length and header differ")
+        yield headers, block
 
 
 def _page(name: str | None) -> int | None:
-    number = name[len(_NAME) + 1 : -1] if name else ""
+    number = name[len(_NAME) + 1 : -1].partition(":")[0] if name else ""
     return int(number) if number else None
 
 
@@ -116,7 +151,7 @@ def read_archive(spark, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, block in parse(gzip.decompress(content.as_py())):
+                for headers, block in parse(content.as_py()):
                     named = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                     kind = headers["WARC-Type"]
                     if kind == "response" and hashlib.sha1(block).hexdigest() != named:
@@ -128,7 +163,7 @@ def read_archive(spark, path: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(run, _READ)
 
 
@@ -139,8 +174,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def restore(archive: DataFrame) -> DataFrame:
     """Rows of ``read_archive`` without payloads, with ``payload_bytes`` of the full payload: a revisit's is its response's."""
-    heads = archive.select("page_id", "url", "record_type", "refers_to", "payload_digest", "block_bytes")
-    revisit = F.col("record_type") == "revisit"
-    wanted = heads.filter(revisit).select(F.col("refers_to").alias("page_id")).distinct()
-    originals = heads.filter(~revisit).join(wanted, "page_id", "left_semi").groupBy(F.col("page_id").alias("refers_to")).agg(F.max("block_bytes").alias("full_bytes"))
-    return heads.join(originals, "refers_to", "left").select("page_id", "url", "record_type", "refers_to", "payload_digest", F.coalesce("full_bytes", "block_bytes").alias("payload_bytes"))
+    heads = archive.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.col("block_bytes").alias("payload_bytes"))
+    revisits, responses = heads.filter("record_type = 'revisit'").drop("payload_bytes"), heads.filter("record_type <> 'revisit'")
+    wanted = revisits.select(F.col("refers_to").alias("page_id")).distinct()
+    originals = responses.join(wanted, "page_id", "left_semi").groupBy(F.col("page_id").alias("refers_to")).agg(F.max("payload_bytes").alias("payload_bytes"))
+    return responses.unionByName(revisits.join(originals, "refers_to", "left"))

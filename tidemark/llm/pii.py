@@ -6,7 +6,13 @@ keeps the source span it came from; identifiers found in the rewritten text are
 added; an added span may enclose a plain one but never cuts it. Offsets are code points, ends exclusive.
 
 Null and empty texts give no spans; repeated rows each get a row; columns other than the named ones are ignored.
-All scans are linear in the text, so one very long text costs no more than many short ones.
+All scans are linear in the text, so one very long text costs no more than many short ones. Tables may be empty; columns
+may have any name.
+
+Coverage: look-alikes of Cyrillic, Greek, Armenian and Cherokee by table, and by rule whatever Unicode relates to an ASCII
+character (compatibility forms such as full-width, mathematical, circled and superscript ones; digits, dashes and blanks of any
+script; letters named Latin); format characters and variation selectors are invisible. Digits and ten to nineteen are
+spelled in English, German, French and Spanish, also doubled or tripled.
 """
 
 from __future__ import annotations
@@ -34,29 +40,41 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
 
-# Cyrillic and Greek letters that look like Latin ones.
-CONFUSABLE = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅУαοινρυκτχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXIJSYaoivpuktxABEZHIKMNOPTYX", strict=True))
-INVISIBLE = frozenset("­​‌‍⁠﻿")
-# Digit words of the corpus languages.
+# Letters of other scripts that look like Latin ones or digits. What Unicode itself relates to a Latin
+# letter, digit, dash or space (by compatibility, category or name) is found by rule, in ``_plain_letter``.
+CONFUSABLE = {
+    **dict(zip("аеорсухіјѕԁһӏԛԝѵАВЕКМНОРСТХІЈЅУԚԜѴ", "aeopcyxijsdhlqwvABEKMHOPCTXIJSYQWV", strict=True)),  # Cyrillic
+    **dict(zip("αοινρυκτχϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "aoivpuktxcjABEZHIKMNOPTYXCJ", strict=True)),  # Greek
+    **dict(zip("օոսհցքզյՕՍԼՏ", "onuhgpqjOULS", strict=True)),  # Armenian
+    **dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᏀᏂᏃᏎᏏᏢᏟᏞᏚᏙᏦᏧᏴ", "DRTiYAJEWMHGhZ4bPCLSVKdB", strict=True)),  # Cherokee
+    **dict(zip("。·‧∙", "....", strict=True)),
+}
+# Digit words of the corpus languages, ten to nineteen, and words that say a digit several times.
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
-    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "ten": "10", "eleven": "11", "twelve": "12", "thirteen": "13", "fourteen": "14", "fifteen": "15", "sixteen": "16", "seventeen": "17", "eighteen": "18", "nineteen": "19",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zehn": "10", "elf": "11", "zwölf": "12", "dreizehn": "13", "vierzehn": "14", "fünfzehn": "15", "sechzehn": "16", "siebzehn": "17", "achtzehn": "18", "neunzehn": "19",
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "dix": "10", "onze": "11", "douze": "12", "treize": "13", "quatorze": "14", "quinze": "15", "seize": "16",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+    "diez": "10", "once": "11", "doce": "12", "trece": "13", "catorce": "14", "quince": "15",
 }
+TIMES_WORDS = {"double": 2, "doppelt": 2, "doble": 2, "triple": 3, "dreifach": 3}
 DOT_WORDS = ("dot", "punkt", "point", "punto")
 AT_WORDS = ("at", "arroba", "arobase", "chez")
 
 _word = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_dot, _at = "|".join(DOT_WORDS), "|".join(AT_WORDS)
+_dot, _at, _times = "|".join(DOT_WORDS), "|".join(AT_WORDS), "|".join(TIMES_WORDS)
+_unit = rf"(?:(?:{_times})[ \t-]{{1,2}})?(?:{_word})"
 # What the transducers rewrite; the gate below is made of the same parts, without what must stand around them.
 _ODD = r"[^\x00-\xac\xae-ɏ]|[²³¹]"
 _GAP = rf"(?:[ \t,-]{{1,3}}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})"
 _OPEN, _CLOSE = r"[ \t]{0,2}[\[({<][ \t]{0,2}", r"[ \t]{0,2}[\])}>][ \t]{0,2}"
 _DOT_SIGN = rf"(?:{_OPEN}(?:{_dot}|\.){_CLOSE}|[ \t]{{1,2}}(?:{_dot})[ \t]{{1,2}})"
 _AT_SIGN = rf"(?:{_OPEN}(?:{_at}|@){_CLOSE}|[ \t]{{1,2}}@[ \t]{{0,2}}|@[ \t]{{1,2}})"
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ \t-]+(?=(?:{_word})(?!\w)))?(?:{_word})(?:{_GAP}(?:{_word}))+(?!\w)")
-_SPELLED_PART = re.compile(rf"(?i)(plus)|({_dot})|({_word})")
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:plus[ \t-]+(?={_unit}(?!\w)))?{_unit}(?:{_GAP}{_unit})+(?!\w)")
+_SPELLED_PART = re.compile(rf"(?i)(plus)|({_dot})|(?:({_times})[ \t-]{{1,2}})?({_word})")
 _DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9-]){_DOT_SIGN}(?=[A-Za-z0-9-])")
 _AT = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-]){_AT_SIGN}(?=[A-Za-z0-9-])")
 _BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])[ \t]{{1,2}}(?:{_at})[ \t]{{1,2}}(?=[A-Za-z0-9-])")
@@ -65,7 +83,7 @@ _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: RE2 patterns that say which texts need a closer look.
 _MAY_BE_PLAIN = r"@|[0-9]"
 # RE2 counts fewer letters as words' and as an i in any case than Python does. A bare ``at`` needs a changed host.
-_SIGNS = rf"{_DOT_SIGN}|{_AT_SIGN}|(?:^|[^0-9A-Za-z_])(?:{_word}){_GAP}(?:{_word})(?:[^0-9A-Za-z_]|$)"
+_SIGNS = rf"{_DOT_SIGN}|{_AT_SIGN}|(?:^|[^0-9A-Za-z_])(?:{_word}){_GAP}{_unit}(?:[^0-9A-Za-z_]|$)"
 _MAY_BE_HIDDEN = rf"{_ODD}|(?i:{_SIGNS.replace('i', '[iıİ]')})"
 
 
@@ -134,16 +152,26 @@ class Tape:
         self.start, self.end, self.changed = (np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+#: Letters that Unicode names Latin without relating them to plain ones: small capitals, script g, negative squares, flags.
+_LATIN_NAME = re.compile(r"(?:LATIN|REGIONAL INDICATOR SYMBOL)( SMALL| CAPITAL|) LETTER (?:SMALL CAPITAL |SCRIPT |OPEN )?([A-Z])$")
+
+
 def _plain_letter(c: str) -> str:
-    if c in INVISIBLE:
-        return ""
+    """The plain character that ``c`` stands for, nothing if it is invisible, or ``c``."""
     if c in CONFUSABLE:
         return CONFUSABLE[c]
-    d = unicodedata.digit(c, None)
+    kind, d = unicodedata.category(c), unicodedata.digit(c, None)
+    if kind == "Cf" or "\ufe00" <= c <= "\ufe0f" or c == "\u034f":
+        return ""
     if d is not None:
         return str(d)
     k = unicodedata.normalize("NFKC", c)
-    return k if len(k) == 1 and k.isascii() else c
+    if len(k) == 1 and k.isascii():
+        return k
+    if kind in ("Pd", "Zs"):
+        return "-" if kind == "Pd" else " "
+    m = _LATIN_NAME.search(unicodedata.name(c, ""))
+    return (m[2] if "CAPITAL" in m[1] else m[2].lower()) if m else c
 
 
 _known: dict[str, str] = {}
@@ -172,7 +200,7 @@ def spelled_digits(tape: Tape) -> None:
     for m in _SPELLED.finditer(tape.text):
         at = m.start()
         for p in _SPELLED_PART.finditer(tape.text, m.start(), m.end()):
-            new = "+" if p[1] else "." if p[2] else DIGIT_WORDS[_fold_word(p[3])]
+            new = "+" if p[1] else "." if p[2] else DIGIT_WORDS[_fold_word(p[4])] * (TIMES_WORDS[_fold_word(p[3])] if p[3] else 1)
             edits.append((at, p.end(), new))
             at = p.end()
     tape.rewrite(edits)
@@ -196,13 +224,15 @@ def hidden_spans(text: str, plain: list[tuple[int, int, int]]) -> list[tuple[int
         step(tape)
     if tape.text == text:
         return []
-    out, taken = [], [(s, e) for s, _, e in plain]
+    # A span cuts another one, or lies in it, if one of its ends is inside that one.
+    out, inside = [], np.zeros(len(text) + 1, bool)
+    for x, _, y in plain:
+        inside[x + 1 : y] = True
     for s, kind, e in plain_spans(tape.text):
         a, z = int(tape.start[s]), int(tape.end[e - 1])
-        if text[a:z] != tape.text[s:e]:
-            if all(z <= x or a >= y or (a <= x and y <= z) for x, y in taken):
-                out.append((a, kind, z))
-                taken.append((a, z))
+        if text[a:z] != tape.text[s:e] and not inside[a] and not inside[z]:
+            out.append((a, kind, z))
+            inside[a + 1 : z] = True
     return sorted(out)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -246,7 +246,7 @@ class HashIndex:
     EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(len(keys) * 3).bit_length())
+        bits = max(4, int(len(keys) * 2).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.keys, self.rows = np.full(1 << bits, self.EMPTY), np.full(1 << bits, -1, np.int32)
         todo, slot = np.arange(len(keys)), self._slot(keys)

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.store import cut
-from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, free_name, hash_spans, mix, named, shingles
+from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, free_name, give_back, hash_spans, mix, named, shingles
 
 PERCENT = 80
 #: Counters of the rarity sketch: 2 MB of 16-bit counts whatever the input.
@@ -240,6 +240,7 @@ def whole_sets(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, width:
             for _, _, chunk in chunks(batch.column(1)):
                 got = [(_signed([_digest(u)[1]])[0], u.tobytes()) for _, u in _chunk_sets(chunk, width)]
                 yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in got], pa.int64()), pa.array([e for _, e in got], pa.binary())], names=["row", "entries"])
+            give_back()
 
     return _source(df, id_col, text_col).mapInArrow(run, T.StructType([T.StructField("row", T.LongType()), T.StructField("entries", T.BinaryType())]))
 
@@ -371,6 +372,7 @@ def _folded_product(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_tiles(batches, ("grp", "tile"), "bits", 2 << 20):
             yield links(table)
+            give_back()
 
     return run
 

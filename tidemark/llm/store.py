@@ -8,19 +8,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch, unless the session names its own limit: a batch of long texts must fit beside others.
+BATCH_BYTES = 8 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is named (tests, local runs) a temporary one is set."""
+    """The cluster's shared folder; only on one machine (tests, local runs) a temporary one is set where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def small_batches(spark: SparkSession) -> None:
+    if int(spark.conf.get(_LIMIT, "67108864b").rstrip("b")) == 64 << 20:
+        spark.conf.set(_LIMIT, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that a lost executor costs no recomputation of what stands above."""
     shared_dir(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -29,4 +42,5 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

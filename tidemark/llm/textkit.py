@@ -7,6 +7,7 @@ ASCII, so words can be cut on UTF-8 bytes. Null texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -199,6 +200,19 @@ def named(column: str) -> F.Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not every C library has it
+    _trim = None
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that idle workers of an executor don't hold the peak of their last chunk."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def _with_text(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """The ``keep`` columns by place (Arrow functions take no names with dots) and, last, the text."""
     return df.select(*(named(c).alias(f"c{k}") for k, c in enumerate(keep)), named(text_col).cast("string").alias("text"))
@@ -222,6 +236,7 @@ def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch],
                 new = fn(chunk, rows)
                 made = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in range(len(keep))), *made], names=schema.names)
+            give_back()
 
     return source.mapInArrow(run, schema).toDF(*keep, *(f.name for f in fields))
 
@@ -235,6 +250,7 @@ def fold_text(df: DataFrame, text_col: str, new_state: Callable, step: Callable,
         for batch in batches:
             for i, j, chunk in chunks(batch.column(len(keep))):
                 yield from step(state, chunk, batch.slice(i, j - i)) or ()
+            give_back()
         yield from finish(state)
 
     return source.mapInArrow(run, schema)

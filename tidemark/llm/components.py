@@ -11,18 +11,15 @@ from tidemark.llm.store import cut
 def components(links: DataFrame) -> DataFrame:
     """(a, b) -> (id, label): the smallest id reachable from each linked id. Materialised in the shared folder.
 
-    Each round takes the smallest label among neighbours, then the label's own label, so the number of rounds follows
-    the logarithm of a component's diameter in practice. Labels only fall; the loop ends when a round changes none.
+    Each round takes the smallest label among neighbours and oneself, then that label's own label, so the number of rounds
+    follows the logarithm of a component's diameter in practice. Labels only fall; the loop ends when a round changes none.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-    edges = cut(both)
-    labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    pair = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b")))
+    edges = cut(links.select("a", "b").filter("a <> b").distinct().select(pair.alias("e")).select("e.a", "e.b").distinct())
+    labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")))
     while True:
-        seen = labels.select(F.col("id").alias("b"), F.col("label").alias("offer"))
-        offers = edges.join(seen, "b").groupBy(F.col("a").alias("id")).agg(F.min("offer").alias("offer"))
-        lower = labels.join(offers, "id").select("id", "label", F.least("label", "offer").alias("next"))
-        jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
-        now = cut(lower.join(jump, "next", "left").select("id", F.least("next", F.coalesce("far", "next")).alias("label"), (F.least("next", F.coalesce("far", "next")) < F.col("label")).alias("fell")))
+        near = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("next"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was"))
+        now = cut(near.join(labels.select(F.col("id").alias("next"), F.col("label").alias("far")), "next").select("id", F.col("far").alias("label"), (F.col("far") < F.col("was")).alias("fell")))
         labels = now.select("id", "label")
         if not now.filter("fell").limit(1).count():
             return labels

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.store import cut
-from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, free_name, give_back, hash_spans, mix, named, shingles
+from tidemark.llm.store import cut, give_back
+from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, free_name, hash_spans, mix, named, shingles
 
 PERCENT = 80
 #: Counters of the rarity sketch: 2 MB of 16-bit counts whatever the input.
@@ -271,6 +271,8 @@ def _rest(rows: DataFrame, labels: DataFrame) -> DataFrame | None:
 
     ``rows`` (``grp``, ``row``, ``k``) are those of groups of several blocks.
     """
+    if not rows.limit(1).count():
+        return None
     told = rows.join(labels.select(F.col("id").alias("row"), "label"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     sizes = told.groupBy("grp", "label").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("grp").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most")).filter("most < all")

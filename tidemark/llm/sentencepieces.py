@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.textkit import Chunk, distinct_spans, map_text, mix
+from tidemark.llm.textkit import CHUNK_BYTES, Chunk, distinct_spans, map_text, mix
 
 _LONG = 192
 _CELLS = 1 << 21
@@ -278,7 +278,8 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
         }
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("exact", T.BooleanType())]
-    return map_text(df, text_col, step, fields, [id_col])
+    # Segments repeat, so the search gains from larger chunks.
+    return map_text(df, text_col, step, fields, [id_col], 4 * CHUNK_BYTES)
 
 
 def decode(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not every C library has it
+    _trim = None
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that neither the driver nor an executor's idle workers hold the peak of their last step."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 #: Bytes of an Arrow batch, unless the session names its own limit: a batch of long texts must fit beside others.
 BATCH_BYTES = 8 << 20
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -34,6 +49,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that a lost executor costs no recomputation of what stands above."""
     shared_dir(df.sparkSession)
     small_batches(df.sparkSession)
+    give_back()
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,6 @@ ASCII, so words can be cut on UTF-8 bytes. Null texts count as empty.
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -18,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.store import give_back
+
 CHUNK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
@@ -200,25 +201,12 @@ def named(column: str) -> F.Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-try:
-    _trim = ctypes.CDLL(None).malloc_trim
-except (OSError, AttributeError):  # not every C library has it
-    _trim = None
-
-
-def give_back() -> None:
-    """Returns freed memory to the system, so that idle workers of an executor don't hold the peak of their last chunk."""
-    pa.default_memory_pool().release_unused()
-    if _trim is not None:
-        _trim(0)
-
-
 def _with_text(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """The ``keep`` columns by place (Arrow functions take no names with dots) and, last, the text."""
     return df.select(*(named(c).alias(f"c{k}") for k, c in enumerate(keep)), named(text_col).cast("string").alias("text"))
 
 
-def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch], dict], fields: list[T.StructField], keep: list[str]) -> DataFrame:
+def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch], dict], fields: list[T.StructField], keep: list[str], limit: int = CHUNK_BYTES) -> DataFrame:
     """One row per input row: the ``keep`` columns, then ``fields`` as computed by ``fn(chunk, rows)``; ``rows`` go by place.
 
     Row-wise, so repeated ids stay repeated. Output fields must not clash with ``keep``; columns of ``df`` may have any name.
@@ -231,7 +219,7 @@ def map_text(df: DataFrame, text_col: str, fn: Callable[[Chunk, pa.RecordBatch],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, chunk in chunks(batch.column(len(keep))):
+            for i, j, chunk in chunks(batch.column(len(keep)), limit):
                 rows = batch.slice(i, j - i)
                 new = fn(chunk, rows)
                 made = [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import annpartition, mixing, ngramjoin, warc
+from tidemark.llm import components as parts
 from tidemark.llm.components import components
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 from tidemark.llm.store import fresh_path
@@ -81,6 +82,7 @@ def joined(docs, count_links=True):
 def test_join_equals_all_pairs(spark, monkeypatch, seed, block, entries):
     """Also with columns and groups cut into many row blocks."""
     monkeypatch.setattr(ngramjoin, "BLOCK", block)
+    monkeypatch.setattr(parts, "LOCAL_LINKS", 0 if seed == 3 else 1 << 20)
     monkeypatch.setattr(ngramjoin, "ENTRIES", entries)
     rows = hard_corpus(seed)
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(5)
@@ -166,7 +168,10 @@ def test_join_of_nothing(spark):
     assert sorted(tuple(r) for r in ngramjoin.near_duplicates(blank).collect()) == [(1, 0, 1), (2, 0, 2), (2, 0, 2)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1 << 20])
+def test_components(spark, monkeypatch, local):
+    """In rounds over all executors, and by one task."""
+    monkeypatch.setattr(parts, "LOCAL_LINKS", local)
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)]
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[i] for i in range(41)} == {0} and got[100] == got[95] == 90

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, unite
 from tidemark.llm.store import cut, give_back
 from tidemark.llm.textkit import LOWER, Chunk, chunks, fold_text, free_name, hash_spans, mix, named, shingles
 
@@ -292,17 +292,6 @@ def _dealt(tiles: DataFrame) -> DataFrame:
     return tiles.repartitionByRange("grp", "tile").sortWithinPartitions("grp", "tile", "side", "n", "row")
 
 
-def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the components of each a and b; a label is the smallest member's number."""
-    while len(a):
-        x, y = label[a], label[b]
-        apart = x != y
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while (label[label] != label).any():
-            label[:] = label[label]
-
-
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -368,7 +357,7 @@ def _folded_product(percent: int) -> Callable:
                     x, y = a[k : k + 4096], b[k : k + 4096]
                     both = nn[x] + nn[y]
                     near = np.bitwise_count(folded[x] ^ folded[y]).sum(axis=1, dtype=np.int64) <= both - 2 * _least(both, percent, 100 + percent)
-                    _unite(label, vv[x[near]], vv[y[near]])
+                    unite(label, vv[x[near]], vv[y[near]])
         return _link_batch(rows, label)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,7 +410,7 @@ def _exact_product(percent: int, pairs: bool = False) -> Callable:
         if pairs:
             return pa.RecordBatch.from_arrays([pa.array(row[a]), pa.array(row[b])], names=_LINK.names)
         label = np.arange(len(row))
-        _unite(label, a, b)
+        unite(label, a, b)
         return pa.RecordBatch.from_arrays([pa.array(row), pa.array(row[label]), pa.array(links)], names=_TOLD.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

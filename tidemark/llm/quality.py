@@ -166,7 +166,8 @@ def bands(scored: DataFrame, spread: float, floor: float) -> DataFrame:
 def judge(df: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, spread: float = 4.0, floor: float = 0.2, short: float = 60.0) -> DataFrame:
     """``score_quality`` with ``q_low``, ``q_high`` and the verdict ``q_kept``."""
     scored = cut(score_quality(df, text_col, lang_col, keep))
-    out = scored.join(bands(scored, spread, floor), F.col("__lang").eqNullSafe(F.col("__band")), "left").drop("__band", "__lang")
+    # One short row a language, MAX_LANGUAGES at most; by language, a third of all texts would meet in one task.
+    out = scored.join(F.broadcast(bands(scored, spread, floor)), F.col("__lang").eqNullSafe(F.col("__band")), "left").drop("__band", "__lang")
     slack = (F.col("q_high") - F.col("q_low")) / 2 * (F.lit(short) / F.col("q_length"))
     inside = F.col("q_log_ppl").between(F.col("q_low") - slack, F.col("q_high") + slack)
     return out.withColumn("q_kept", ~F.col("q_base_failed") & F.coalesce(inside, F.lit(True)))

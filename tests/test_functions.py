@@ -1,9 +1,12 @@
 import datetime as dt
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import address, attributes, geo, numbers, payload, text, times
+from tidemark.functions import krovak
 from tidemark.functions.krovak import to_wgs84
 
 
@@ -86,9 +89,36 @@ def test_geo(spark):
     assert abs(metres - 111_195) < 5
 
 
-def test_krovak_lands_in_the_city():
-    lat, lon = to_wgs84([1_043_000.0], [743_000.0])
-    assert abs(lat[0] - 50.087) < 0.02 and abs(lon[0] - 14.42) < 0.02
+def test_krovak_lands_on_the_house(monkeypatch):
+    """Three surveyed points of the castle; a shift without rotations is ten metres off, wrong signs would be far more."""
+    for y, x in ((744384.54, 1042569.73), (744016.88, 1042411.79), (744100.09, 1042446.40)):
+        lat, lon = to_wgs84(np.array([x]), np.array([y]))
+        assert 50.089 < lat[0] < 50.092 and 14.398 < lon[0] < 14.407
+    # Distances in the grid and on the sphere agree.
+    (a, b), (c, d) = (to_wgs84(np.array([x]), np.array([y])) for y, x in ((744384.54, 1042569.73), (744016.88, 1042411.79)))
+    metres = math.hypot((a - c)[0] * 111_229, (b - d)[0] * 111_320 * math.cos(math.radians(50.09)))
+    assert abs(metres - math.hypot(744384.54 - 744016.88, 1042569.73 - 1042411.79)) < 1
+    for name, value in (("SHIFT", (589.0, 76.0, 480.0)), ("TURN", (0, 0, 0)), ("SCALE", 0)):
+        monkeypatch.setattr(krovak, name, value)
+    p, q = to_wgs84(np.array([1042569.73]), np.array([744384.54]))
+    assert 9 < math.hypot((a - p)[0] * 111_229, (b - q)[0] * 111_320 * math.cos(math.radians(50.09))) < 11
+    # EPSG's own worked example of the projection, before any change of datum: 50d12'32.442"N 16d50'59.179"E of Greenwich.
+    on_bessel = krovak.to_bessel(np.array([1050538.63]), np.array([568991.00]))
+    assert abs(np.degrees(on_bessel[0][0]) - 50.2090117) < 1e-6 and abs(np.degrees(on_bessel[1][0]) - 16.8497719) < 1e-6
+
+
+def test_segment_is_true_to_scale_at_its_mean_latitude(spark):
+    def plain(lat, lon, lat_a, lon_a, lat_b, lon_b):
+        k = geo.EARTH_M * math.pi / 180
+        flat = lambda p, q: (q * k * math.cos(math.radians((lat_a + lat_b) / 2)), p * k)
+        (px, py), (ax, ay), (bx, by) = flat(lat, lon), flat(lat_a, lon_a), flat(lat_b, lon_b)
+        t = max(0.0, min(1.0, ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+        return math.hypot(px - ax - t * (bx - ax), py - ay - t * (by - ay))
+
+    points = [(50.0, 14.0), (49.2, 15.5), (52.0, 13.0), (50.5, 14.5)]
+    rows = spark.createDataFrame(points, "lat double, lon double")
+    got = [r[0] for r in rows.select(geo.segment_m(F.col("lat"), F.col("lon"), 49.0, 14.0, 51.0, 15.0)).collect()]
+    assert all(abs(g - plain(*p, 49.0, 14.0, 51.0, 15.0)) < 1e-6 for g, p in zip(got, points, strict=True))
 
 
 def test_attributes_and_payload(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
 import gzip
 
+import shutil
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -78,3 +80,23 @@ def test_streamed_windows_and_removals(spark, tmp_path):
     assert (dt.datetime(2026, 1, 1), 2) in {(r.start, r.n) for r in got}
     gone = drained(log.removals(s), tmp_path, "gone")
     assert {r.internal_id for r in gone} >= {"b"} and all(r.status == "removed" for r in gone)
+
+
+def test_a_replacement_cut_short_loses_no_row(spark, tmp_path):
+    """Killed while writing, after setting aside, or before the last clean-up: one whole table is found."""
+    path = str(tmp_path / "state")
+    first, second = spark.range(3), spark.range(5)
+    sinks.write_state(first, path)
+    with pytest.raises(ZeroDivisionError):
+        sinks.replace(spark, path, lambda to: (second.write.parquet(to), 1 / 0))
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "state.new").exists()
+    (tmp_path / "state").rename(tmp_path / "state.old")
+    second.write.parquet(f"{path}.new")
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    shutil.copytree(tmp_path / "state", tmp_path / "state.old")
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "state.old").exists()
+    sinks.write_state(spark.read.parquet(path).union(spark.read.parquet(path)), path)
+    assert spark.read.parquet(path).count() == 6

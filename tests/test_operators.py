@@ -105,6 +105,45 @@ def test_chain_and_star_are_not_cliques(spark):
     assert groups == {"b": {"a", "b"}, "c": {"c", "d"}, "x": {"x", "y", "z"}}
 
 
+def brute_names(members, old):
+    """One cluster after another, as the rule says."""
+    import hashlib
+
+    out, taken = {}, set()
+    fresh = lambda ids: "clu_" + hashlib.sha1(",".join(sorted(ids)).encode()).hexdigest()[:10]
+    for seed, (_, ids) in sorted(members.items(), key=lambda x: (-x[1][0], x[0])):
+        name = next((old[m] for m in sorted(ids) if old.get(m) and old[m] not in taken), None)
+        out[seed] = name
+        taken.add(name)
+    inherited = {n for n in out.values() if n}
+    for seed, name in out.items():
+        if not name:
+            own = fresh(members[seed][1])
+            out[seed] = fresh([*members[seed][1], own]) if own in inherited else own
+    return out
+
+
+def test_cluster_ids_go_to_the_first_free_claim(spark):
+    cases = [({"a": (3, ["a", "b"]), "c": (2, ["c", "d"])}, {"a": "X", "b": "Y", "c": "X", "d": "Z"})]
+    rng = random.Random(3)
+    for _ in range(3):
+        members = {f"s{k}": (rng.randint(1, 4), [f"s{k}", *(f"m{k}_{j}" for j in range(rng.randint(1, 4)))]) for k in range(30)}
+        cases.append((members, {m: f"old{rng.randrange(12)}" for _, ids in members.values() for m in ids if rng.random() < 0.7}))
+    cases.append(({"a": (3, ["a", "q"]), "c": (2, ["c", "d"])}, {"a": cluster.cluster_hash(["c", "d"])}))
+    for members, old in cases:
+        rows = [(m, s, d, 3, len(ids)) for s, (d, ids) in members.items() for m in ids]
+        listings = spark.createDataFrame([(m, old.get(m, "")) for _, ids in members.values() for m in ids], "internal_id string, cluster_id string")
+        got = {r.internal_id: r.cluster_id for r in cluster.named_clusters(spark.createDataFrame(rows, "internal_id string, seed string, degree long, rank int, members long"), listings).collect()}
+        want = brute_names(members, old)
+        assert got == {m: want[s] for s, (_, ids) in members.items() for m in ids}
+
+
+def test_components_of_a_long_chain(spark):
+    nodes = spark.createDataFrame([(f"{k:04d}",) for k in range(300)], "id string")
+    edges = spark.createDataFrame([(f"{k:04d}", f"{k + 1:04d}") for k in range(299)], "a string, b string")
+    assert {r.component for r in cluster.components(nodes, edges).collect()} == {"0000"}
+
+
 def test_cluster_ids_are_kept_once(spark):
     members = spark.createDataFrame([("a", "a", 1, 3, 2), ("b", "a", 1, 3, 2), ("c", "c", 1, 2, 2), ("d", "c", 1, 2, 2)], "internal_id string, seed string, degree long, rank int, members long")
     listings = spark.createDataFrame([(i, "clu_old") for i in "abcd"], "internal_id string, cluster_id string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,15 +21,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(``id``) and (``a``, ``b``) -> (``id``, ``component``): the smallest id of the connected component.
 
     Minimum labels with pointer jumping, which takes about the logarithm of a component's diameter in rounds; lineage is
-    cut each round. Nodes without edges are their own component.
+    cut each round, and rounds go on until one changes nothing. Nodes without edges are their own component.
     """
     both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = saved(nodes.select("id", F.col("id").alias("component")).distinct())
-    for _ in range(rounds):
+    while True:
         offers = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("offer")), "b").groupBy(F.col("a").alias("id")).agg(F.min("offer").alias("offer"))
         lower = labels.join(offers, "id", "left").select("id", "component", F.least("component", F.coalesce("offer", "component")).alias("next"))
         far = labels.select(F.col("id").alias("next"), F.col("component").alias("far"))
@@ -37,8 +37,7 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
         done = now.filter("new <> component").limit(1).count() == 0
         labels = now.select("id", F.col("new").alias("component"))
         if done:
-            break
-    return labels
+            return labels
 
 
 def property_keys(listings: DataFrame) -> DataFrame:
@@ -82,19 +81,40 @@ def cliques(edges: DataFrame) -> DataFrame:
     return named.groupBy("component").applyInPandas(_cliques, "internal_id string, seed string, degree long, rank int, members long")
 
 
+def inherited(claims: DataFrame) -> DataFrame:
+    """(``seed``, ``degree``, ``place``, ``old``) -> ``seed``, ``old``: each old id goes to one cluster.
+
+    Clusters choose in order of degree, then seed; each takes the first of its old ids (by ``place``) that no earlier one
+    took. In rounds, each cluster asks for its first id that has not refused it, and an id refuses all but the earliest
+    that ask, until none is refused; this gives what choosing one after another gives.
+    """
+    left = saved(claims)
+    while True:
+        asked = left.withColumn("turn", F.row_number().over(Window.partitionBy("seed").orderBy("place"))).filter("turn = 1")
+        told = saved(asked.withColumn("rank", F.row_number().over(Window.partitionBy("old").orderBy(F.desc("degree"), "seed"))).select("seed", "old", "rank"))
+        if not told.filter("rank > 1").limit(1).count():
+            return told.select("seed", "old")
+        left = saved(left.join(told.filter("rank > 1"), ["seed", "old"], "left_anti"))
+
+
 def named_clusters(members: DataFrame, listings: DataFrame) -> DataFrame:
-    """Adds ``cluster_id``: a member's old id where no earlier cluster took it, else a hash of the sorted members.
+    """Adds ``cluster_id``: the first of the members' old ids that no earlier cluster took, else a hash of the sorted members.
 
-    Clusters take ids in order of seed degree, then seed; an old id goes to the first that claims it. ``confidence`` is
-    the member's best rank by name.
+    A hash that is also an inherited id is salted with itself. ``confidence`` is the member's best rank by name.
     """
     old = listings.select("internal_id", F.col("cluster_id").alias("old")).filter("old IS NOT NULL AND old <> ''")
-    claims = members.join(old, "internal_id", "left").groupBy("seed").agg(F.max("degree").alias("degree"), F.min_by("old", F.when(F.col("old").isNotNull(), F.col("internal_id"))).alias("wish"), F.array_sort(F.collect_list("internal_id")).alias("ids"))
-    first = F.row_number().over(Window.partitionBy("wish").orderBy(F.desc("degree"), "seed"))
-    fresh = F.concat(F.lit("clu_"), F.substring(F.sha1(F.array_join("ids", ",").cast("binary")), 1, 10))
-    given = claims.withColumn("place", F.when(F.col("wish").isNotNull(), first)).select("seed", F.when(F.col("place") == 1, F.col("wish")).otherwise(fresh).alias("cluster_id"))
+    claims = members.join(old, "internal_id").groupBy("seed", "old").agg(F.max("degree").alias("degree"), F.min("internal_id").alias("place"))
+    taken = saved(inherited(claims))
+    ids = members.groupBy("seed").agg(F.array_sort(F.collect_list("internal_id")).alias("ids"))
+    clash = taken.select(F.col("old").alias("fresh"), F.lit(True).alias("clash"))
+    given = ids.join(taken, "seed", "left").withColumn("fresh", _hash(F.col("ids"))).join(clash, "fresh", "left")
+    fresh = F.when(F.col("clash"), _hash(F.array_sort(F.array_append("ids", F.col("fresh"))))).otherwise(F.col("fresh"))
     name = F.when(F.col("rank") == 3, "exact").when(F.col("rank") == 2, "high").otherwise("medium")
-    return members.join(given, "seed").select("internal_id", "cluster_id", name.alias("dedup_confidence"))
+    return members.join(given.select("seed", F.coalesce("old", fresh).alias("cluster_id")), "seed").select("internal_id", "cluster_id", name.alias("dedup_confidence"))
+
+
+def _hash(ids: Column) -> Column:
+    return F.concat(F.lit("clu_"), F.substring(F.sha1(F.array_join(ids, ",").cast("binary")), 1, 10))
 
 
 def cluster_hash(ids: list[str]) -> str:

@@ -89,9 +89,11 @@ def check_exports(files: DataFrame, newest_data: Column) -> DataFrame:
     return files.filter(F.col("modified") < newest_data).select(F.lit("exports").alias("check"), F.format_string("%s is older than the data", "path").alias("finding"))
 
 
-def report(runs: DataFrame, days: DataFrame, files: DataFrame, now: Column) -> DataFrame:
-    """All findings."""
+def report(runs: DataFrame, days: DataFrame, files: DataFrame, now: Column, exports: DataFrame | None = None, newest_data: Column | None = None) -> DataFrame:
+    """All findings; those on ``exports`` (``path``, ``modified``) if they are given, with the moment of the newest data."""
     parts = [check_gap(runs, now), check_spacing(runs), check_rent(runs, now), check_last_run(runs), check_freshness(runs, now), check_days(days), check_files(files)]
+    if exports is not None:
+        parts.append(check_exports(exports, now if newest_data is None else newest_data))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

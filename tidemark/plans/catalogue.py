@@ -596,7 +596,7 @@ def url_and_markup(spark, sf_dir):
 def _shape_sql() -> str:
     name, a, b, c, d, half = geo.BELT
     scale = geo.EARTH_M * 0.017453292519943295
-    cos_a = f"cos(radians({a}::DOUBLE))"
+    cos_a = f"cos(radians(({a}::DOUBLE + {c}::DOUBLE) / 2))"
     x, y = f"((lon - {b}) * ({scale!r}::DOUBLE * {cos_a}))", f"((lat - {a}) * {scale!r}::DOUBLE)"
     bx, by = f"(({d}::DOUBLE - {b}) * ({scale!r}::DOUBLE * {cos_a}))", f"(({c}::DOUBLE - {a}) * {scale!r}::DOUBLE)"
     t = f"greatest(0.0, least(1.0, ({x} * {bx} + {y} * {by}) / ({bx} * {bx} + {by} * {by})))"

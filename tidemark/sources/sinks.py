@@ -3,11 +3,48 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path``, and what makes its paths."""
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    return made(path).getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts back what a ``replace`` that was cut short has set aside, and drops what it had not finished."""
+    fs, made = _files(spark, path)
+    old, new = made(f"{path}.old"), made(f"{path}.new")
+    if fs.exists(old):
+        if fs.exists(made(path)):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, made(path))
+    fs.delete(new, True)
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replaces the folder ``path`` by what ``write(folder)`` writes.
+
+    The new rows are whole in a folder of their own before the old ones are set aside, and those go only when the new ones
+    stand in their place; so at every moment one of the two is there, and ``recover`` (which each ``replace`` starts with)
+    finds it. The rows may be read from ``path`` itself.
+    """
+    recover(spark, path)
+    fs, made = _files(spark, path)
+    write(f"{path}.new")
+    if fs.exists(made(path)) and not fs.rename(made(path), made(f"{path}.old")):
+        raise OSError(f"{path} can't be set aside")
+    if not fs.rename(made(f"{path}.new"), made(path)):
+        raise OSError(f"{path}.new can't take its place")
+    fs.delete(made(f"{path}.old"), True)
+    spark.catalog.refreshByPath(path)
+
+
 def digest(df: DataFrame) -> str:
     """Order-free digest of a frame's rows."""
     row = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)])
@@ -23,7 +60,7 @@ def write_if_changed(df: DataFrame, path: str) -> bool:
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    df.write.mode("overwrite").parquet(path)
+    replace(df.sparkSession, path, lambda to: df.write.parquet(to))
     return True
 
 
@@ -33,9 +70,9 @@ def routed(listings: DataFrame) -> DataFrame:
 
 
 def write_listings(listings: DataFrame, path: str) -> None:
-    """The keyed table by bucket. Input read from the same path must be checkpointed before; the committer swaps whole files."""
-    rows = routed(listings)
-    rows.repartition("bucket", F.pmod(F.hash("internal_id"), F.lit(16))).sortWithinPartitions("bucket", "internal_id").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """The keyed table by bucket, replaced as a whole: no row is ever absent, nor in two buckets."""
+    rows = routed(listings).repartition("bucket", F.pmod(F.hash("internal_id"), F.lit(16))).sortWithinPartitions("bucket", "internal_id")
+    replace(listings.sparkSession, path, lambda to: rows.write.partitionBy("bucket").parquet(to))
 
 
 def append_log(rows: DataFrame, path: str, run_at: Column) -> None:
@@ -55,7 +92,7 @@ def strip_bulk(column: Column, keys: list[str]) -> Column:
 
 
 def write_state(state: DataFrame, path: str) -> None:
-    state.write.mode("overwrite").parquet(path)
+    replace(state.sparkSession, path, lambda to: state.write.parquet(to))
 
 
 def append_run(spark: SparkSession, run: dict, path: str) -> None:

@@ -34,6 +34,7 @@ _NAME = "urn:page:"
 #: A gzip member of nothing.
 _NOTHING = gzip.compress(b"", mtime=0)
 _LEVEL = 4
+_PIECE = 1 << 13
 
 
 def with_digest(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -116,13 +117,21 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record, one gzip member at a time."""
-    rest = memoryview(data)
-    while len(rest):
-        member = zlib.decompressobj(wbits=31)
-        record = member.decompress(rest)
-        if not member.eof:
-            raise ValueError("a gzip member is cut short")
-        rest = rest[len(rest) - len(member.unused_data) :]
+    view, at = memoryview(data), 0
+    while at < len(data):
+        if data.startswith(_NOTHING, at):
+            at += len(_NOTHING)
+            continue
+        # In small pieces, since what follows a member comes back as a copy.
+        member, pieces = zlib.decompressobj(wbits=31), []
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("a gzip member is cut short")
+            piece = view[at : at + _PIECE]
+            pieces.append(member.decompress(piece))
+            at += len(piece)
+        at -= len(member.unused_data)
+        record = b"".join(pieces)
         if not record:
             continue
         stop = record.index(b"\r\n\r\n")
@@ -174,7 +183,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def restore(archive: DataFrame) -> DataFrame:
     """Rows of ``read_archive`` without payloads, with ``payload_bytes`` of the full payload: a revisit's is its response's."""
-    heads = archive.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.col("block_bytes").alias("payload_bytes"))
+    # Materialised, so that the files are parsed once.
+    heads = cut(archive.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.col("block_bytes").alias("payload_bytes")))
     revisits, responses = heads.filter("record_type = 'revisit'").drop("payload_bytes"), heads.filter("record_type <> 'revisit'")
     wanted = revisits.select(F.col("refers_to").alias("page_id")).distinct()
     originals = responses.join(wanted, "page_id", "left_semi").groupBy(F.col("page_id").alias("refers_to")).agg(F.max("payload_bytes").alias("payload_bytes"))

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,42 +60,63 @@ def decisions(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return resolve(headers, min_bytes).join(several, ["page_id", "payload_digest"], "full")
 
 
-def records(pages: DataFrame, decided: DataFrame, date: str) -> DataFrame:
-    """Head and block of each page's record, from ``with_digest`` and ``decisions`` rows."""
-    joined = pages.join(decided, ["page_id", "payload_digest"], "left")
-    revisit = F.col("refers_to").isNotNull()
-    crlf = "\r\n"
-    block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
-    number = F.when(F.col("several") | F.col("page_id").isNull(), F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string"))).otherwise(F.lit(""))
-    head = F.concat(
-        F.lit(f"WARC/1.1{crlf}WARC-Type: "),
-        F.when(revisit, "revisit").otherwise("response"),
-        F.lit(f"{crlf}WARC-Record-ID: <{_NAME}"),
+_CRLF = "\r\n"
+
+
+def _head(kind: str, number: Column, date: str, more: Column, length: Column) -> Column:
+    """A record's head, from the columns ``page_id``, ``url`` and ``payload_digest``."""
+    return F.concat(
+        F.lit(f"WARC/1.1{_CRLF}WARC-Type: {kind}{_CRLF}WARC-Record-ID: <{_NAME}"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("")),
         number,
-        F.lit(f">{crlf}WARC-Date: {date}{crlf}WARC-Target-URI: "),
-        url,
-        F.lit(f"{crlf}WARC-Payload-Digest: sha1:"),
+        F.lit(f">{_CRLF}WARC-Date: {date}{_CRLF}WARC-Target-URI: "),
+        F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", ""),
+        F.lit(f"{_CRLF}WARC-Payload-Digest: sha1:"),
         _base32(F.col("payload_digest")),
-        F.when(revisit, F.concat(F.lit(f"{crlf}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{crlf}WARC-Refers-To: <{_NAME}"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
-        F.lit(f"{crlf}Content-Type: text/html; charset=utf-8{crlf}Content-Length: "),
-        F.octet_length(block).cast("string"),
-        F.lit(crlf + crlf),
-    )
-    return joined.select(head.cast("binary").alias("head"), block.cast("binary").alias("block"))
+        more,
+        F.lit(f"{_CRLF}Content-Type: text/html; charset=utf-8{_CRLF}Content-Length: "),
+        length.cast("string"),
+        F.lit(_CRLF + _CRLF),
+    ).cast("binary")
+
+
+def records(pages: DataFrame, decided: DataFrame, date: str) -> DataFrame:
+    """Each page's record as a gzip member, from ``with_digest`` and ``decisions`` rows.
+
+    Every page is packed as a response before the shuffle, so that packed bytes go through it; revisits then get a record
+    of their own in place of it, and records of shared or null ids their numbers.
+    """
+    response = _head("response", F.lit(""), date, F.lit(""), F.col("payload_bytes"))
+    packed = pages.select("page_id", "payload_digest", F.coalesce("url", F.lit("")).alias("url"), response.alias("head"), F.col("payload").cast("binary").alias("block"))
+    schema = T.StructType([*packed.schema[:3], T.StructField("member", T.BinaryType())])
+    joined = packed.mapInArrow(_pack, schema).join(decided, ["page_id", "payload_digest"], "left")
+    revisit = F.col("refers_to").isNotNull()
+    number = F.when(F.col("several") | F.col("page_id").isNull(), F.concat(F.lit(":"), F.monotonically_increasing_id().cast("string")))
+    profile = F.concat(F.lit(f"{_CRLF}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{_CRLF}WARC-Refers-To: <{_NAME}"), F.col("refers_to").cast("string"), F.lit(">"))
+    again = F.when(revisit, _head("revisit", F.coalesce(number, F.lit("")), date, profile, F.lit(0)))
+    return joined.select(F.when(~revisit, F.col("member")).alias("member"), again.alias("again"), number.alias("number")).mapInArrow(_settle, "member binary")
+
+
+def _member(record: bytes) -> bytes:
+    return gzip.compress(record, _LEVEL, mtime=0)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = [_member(head.as_py() + block.as_py() + b"\r\n\r\n") for head, block in zip(batch.column(3), batch.column(4), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=[*batch.schema.names[:3], "member"])
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each record as a gzip member."""
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out, size = [], 0
-        for head, block in zip(batch.column(0), batch.column(1), strict=True):
-            out.append(gzip.compress(head.as_py() + block.as_py() + b"\r\n\r\n", _LEVEL, mtime=0))
-            size += len(out[-1])
-            if size >= 16 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
-                out, size = [], 0
+        out = []
+        for member, again, number in zip(*batch.columns, strict=True):
+            if again.is_valid:
+                out.append(_member(again.as_py() + b"\r\n\r\n"))
+            elif number.is_valid:
+                out.append(_member(gzip.decompress(member.as_py()).replace(b">\r\nWARC-Date", number.as_py().encode() + b">\r\nWARC-Date", 1)))
+            else:
+                out.append(member.as_py())
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
 
@@ -111,7 +132,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     full = with_digest(pages, id_col, url_col, html_col)
     headers = cut(full.select("page_id", "payload_bytes", "payload_digest"))
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    members = records(full, decisions(headers, min_bytes), date).mapInArrow(_members, "member binary").hint("rebalance")
+    members = records(full, decisions(headers, min_bytes), date).hint("rebalance")
     members.select(F.col("member").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", _NOTHING.decode("latin-1")).text(path)
 
 

@@ -507,7 +507,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     join = _Join(df, id_col, text_col, width, percent)
     labels, counted = join.told(count_links)
     own = join.classes.join(labels.withColumnRenamed("row", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
-    low = own.groupBy("label").agg(F.min("class").alias("component"))
+    # Materialised, so that the join's sides are both exchanges and a large component's side can be split.
+    low = cut(own.groupBy("label").agg(F.min("class").alias("component")))
     own = own.join(low, "label")
     if count_links:
         own = own.join(counted.groupBy(F.col("row").alias("f1")).agg(F.sum("links").alias("links")), "f1", "left")

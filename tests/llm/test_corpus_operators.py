@@ -377,7 +377,7 @@ def test_pipeline_stages_take_effect(spark):
         before, now = now, stage(spark, now, sf).cache()
         seen.append(now.count())
         if name == "near duplicates":
-            want = {i for i, (_, c) in brute_components([(r.doc_id, r.text) for r in before.collect()]).items() if i == c}
+            want = {i for i, (_, c, _) in brute_components([(r.doc_id, r.text) for r in before.collect()]).items() if i == c}
             assert {r.doc_id for r in now.collect()} == want
         if name == "personal data":
             assert not any(re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r.text) for r in now.collect())

@@ -32,7 +32,7 @@ def parse(raw: Column) -> Column:
     """
     key = lambda c: F.lower(F.trim(c))
     known = lambda c: key(c).rlike(_BOROUGH) | key(c).isin(DISTRICTS)
-    parts = F.transform(F.split(strip_accents(F.coalesce(raw, F.lit(""))), ","), F.trim)
+    parts = F.transform(F.split(strip_accents(F.coalesce(raw, F.lit(""))), ","), lambda p: F.trim(p))
     parts = F.filter(parts, lambda p: (p != "") & ~key(p).rlike(r"^okres\b"))
     dashed = F.filter(parts, lambda p: p.contains(" - "))
     named = F.trim(F.regexp_extract(F.try_element_at(dashed, F.lit(-1)), r"^.*? - (.*)$", 1))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,14 +32,6 @@ def newest_copy(rows: DataFrame, key: list[str], seen: str, status: str, order:
     return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
-@dataclass
-class Merged:
-    table: DataFrame
-    changes: DataFrame
-    observations: DataFrame
-    scopes: DataFrame
-
-
 def merge_snapshot(table: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], silent: list[str], now: Column, today: Column, insert_new: bool = True) -> tuple[DataFrame, DataFrame]:
     """One full outer join of a keyed table with a snapshot of the same columns.
 

@@ -42,6 +42,11 @@ def price_per_m2(price: Column, area: Column) -> Column:
     return F.when(area > 0, F.rint(price / area).cast("bigint"))
 
 
+def asking_price(last: Column, first: Column) -> Column:
+    """What an episode asks now: its last price, else its first; zero is unknown."""
+    return F.coalesce(F.nullif(as_number(last), F.lit(0.0)), as_number(first))
+
+
 def share(part: Column, whole: Column, least: int = MIN_SAMPLE) -> Column:
     """Percentage, null below the least denominator."""
     return F.when(whole >= least, 100.0 * part / whole)

@@ -16,6 +16,18 @@ from tidemark.functions.text import clean_text, fold
 #: An advert carries at least two of these beside its id.
 MARKERS = ("price", "surface", "disposition", "gps", "offerType", "estateType")
 
+# Words of an advert's address that may lie in the collected area.
+AREA_SLUGS = """
+praha modrany chodov haje letnany zbraslav ricany jesenice pruhonice cestlice dolni-brezany zdiby klecany roztoky
+horomerice cernosice jinocany hostivice rudna jirny sulice vestec psary mnisek kamenice brandys celakovice uvaly
+sestajovice zelenec mratin vodochody
+""".split()
+
+
+def may_be_local(slug: Column) -> Column:
+    """Whether a slug names a place of the area; a cheap test before a page is fetched, places are tested after."""
+    return F.coalesce(slug.rlike("|".join(AREA_SLUGS)), F.lit(False))
+
 
 def enum_value(c: Column) -> Column:
     """A code given bare or as an object with ``value``."""

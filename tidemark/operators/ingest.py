@@ -147,7 +147,7 @@ def merge_source(listings: DataFrame, state: DataFrame, fetched: Fetched, now: C
     errors += [f"{r[0]}/{r[1]} shows under half of what is stored; nothing marked absent" for r in verdicts if not r.trusted]
     after = saved(merge.mark_absent(merged, snap, "internal_id", SCOPE, trusted, today, fetched.sweep_start))
     gone = after.join(snap, "internal_id", "left_anti").select("internal_id", F.col("status").alias("__now")).join(mine.select("internal_id", F.col("status").alias("__was")), "internal_id")
-    gone = saved(gone.filter("__now <> __was").select("internal_id", F.col("__now").alias("status")))
+    gone = gone.filter("__now <> __was").select("internal_id", F.col("__now").alias("status"))
     price = real_price(F.col("price")).cast("bigint")
     shown = snap.filter("NOT coalesce(presence_only, false)").select("internal_id", price.alias("price")).join(after.select("internal_id", "area_m2"), "internal_id")
     sightings = shown.select("internal_id", "price", price_per_m2(F.col("price"), F.col("area_m2")).alias("price_per_m2"), F.lit("active").alias("status"))
@@ -156,7 +156,7 @@ def merge_source(listings: DataFrame, state: DataFrame, fetched: Fetched, now: C
     lost = gone.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "removed").alias("removed")).first()
     stats = figures.asDict() | {"missing_marked": lost.n, "removed_confirmed": lost.removed, "run_complete": bool(verdicts) and not errors, "scopes_absence_marked": [] if fault else sorted(f"{r[0]}/{r[1]}" for r in verdicts if r.trusted), "interruptions": planned, "errors": errors}
     fresh = after.join(mine, "internal_id", "left_anti").select("internal_id")
-    return Merged(other.unionByName(after), saved(next_state), saved(events), saved(changes), saved(fresh), stats)
+    return Merged(other.unionByName(after), saved(next_state), events, changes, fresh, stats)
 
 
 def observe(listings: DataFrame, state: DataFrame, walk: Fetched, now: Column, today: Column, collect: bool = True) -> Merged:
@@ -215,7 +215,7 @@ def run(listings: DataFrame, state: DataFrame, sources: list[Fetched], now: Colu
             per_source[f.source] = {"crashed": True, "traceback": f.crash, "errors": [f.crash]}
             continue
         m = merge_source(listings, state, f, now, today)
-        listings, state = saved(m.listings), m.state
+        listings, state = m.listings, m.state
         per_source[f.source] = m.stats
         logs.append(m.observations)
         changes.append(m.changes)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.numbers import mean, median, share
+from tidemark.functions.times import closed_week_end
 
 WINDOWS = (1, 7, 30)
 QUICK_DAYS = 14
@@ -133,3 +134,8 @@ def thinned(series: DataFrame, most: int = 60) -> DataFrame:
     ranked = series.withColumn("nth", F.row_number().over(w.orderBy("day"))).withColumn("points", F.count("*").over(w))
     step = F.greatest(F.lit(1), F.ceil(F.col("points") / most))
     return ranked.filter((F.col("points") >= 3) & (((F.col("nth") - 1) % step == 0) | (F.col("nth") == F.col("points")))).drop("nth", "points")
+
+
+def until_closed_week(series: DataFrame, today: Column, day: str = "day") -> DataFrame:
+    """Rows of a series up to the Sunday before ``today``."""
+    return series.filter(F.col(day) <= closed_week_end(today))

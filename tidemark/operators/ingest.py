@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.numbers import price_per_m2, real_price
-from tidemark.functions.text import address_locality, locality_tokens, street_key
+from tidemark.functions.text import locality_tokens, street_key
 from tidemark.operators import cluster, match, merge, nearest, register
 from tidemark.operators.cluster import saved
 

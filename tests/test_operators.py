@@ -283,3 +283,37 @@ def test_json_paths_enter_arrays(spark):
         want.update(out)
     docs = spark.createDataFrame([(pad + json.dumps(t),) for pad, t in zip(["", " \n", *[""] * len(texts)], texts)] + [(None,), ("",), ("[1, 2",)], "body string")
     assert {r.path: r.n for r in inventory.json_paths(docs, "body").collect()} == want and {"a[].c[][].d", "[][].f.g", "s[].h.i"} <= set(want)
+
+
+def most_joined(df):
+    """The most rows that a join of a frame makes, after it ran."""
+    def walk(p):
+        if "AdaptiveSparkPlan" in p.nodeName():
+            yield from walk(p.executedPlan())
+        elif "QueryStage" in p.getClass().getSimpleName():
+            yield from walk(p.plan())
+        else:
+            if "Join" in p.nodeName() and p.metrics().contains("numOutputRows"):
+                yield p.metrics().apply("numOutputRows").value()
+            kids = p.children()
+            for k in range(kids.size()):
+                yield from walk(kids.apply(k))
+
+    return max(walk(df._jdf.queryExecution().executedPlan()), default=0)
+
+
+def test_nearest_points_of_one_key_are_not_paired(spark):
+    """A key with 3,000 rows and 3,000 points makes no pairs of them, and copies of spots change nothing."""
+    points = spark.range(3000).selectExpr("id AS point_id", "'s' AS street", "id % 7 AS number", "50.0 + (id % 30) / 1000.0 AS lat", "14.5D AS lon")
+    rows = spark.range(3000).selectExpr("id", "'s' AS street", "50.0 + (id % 50) / 1000.0 AS lat", "14.5D AS lon")
+    df = nearest.nearest_point(rows, points, "street")
+    got = {r.id: (r.point_id, r.number, r.candidates) for r in df.collect()}
+    assert got == {k: (k % 50 if k % 50 < 30 else 29, (k % 50 if k % 50 < 30 else 29) % 7, 7) for k in range(3000) if k % 50 < 32}
+    assert most_joined(df) <= 3000
+
+
+def test_nearest_point_of_an_id_at_several_spots(spark):
+    points = spark.createDataFrame([(1, "s", 1, 50.0, 14.5), (2, "t", 2, 50.0, 14.5), (3, "t", 3, 50.001, 14.5)], "point_id long, street string, number long, lat double, lon double")
+    rows = spark.createDataFrame([(1, "s", 50.0, 14.5), (1, "s", 50.0, 14.5), (2, "s", 50.0, 14.5), (2, "t", 50.001, 14.5), (3, "t", 50.0001, 14.5)], "id long, street string, lat double, lon double")
+    got = {r.id: (r.point_id, r.candidates) for r in nearest.nearest_point(rows, points, "street").collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (2, 1)}

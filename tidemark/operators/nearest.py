@@ -2,25 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from math import radians
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.geo import haversine_m
+from tidemark.functions.geo import EARTH_M, haversine_m
 
 MAX_M = 250.0
 CROWD_FLOOR_M = 5.0
 CROWD_FACTOR = 2.0
 
 
+def crowds(rows: DataFrame, points: DataFrame, key: str, number: Column, own: Column, around: Column, max_m: float) -> DataFrame:
+    """Spots (``key``, ``lat``, ``lon``) of ``rows`` with ``__top``, the nearest point of the key within ``max_m``, and ``__crowd``.
+
+    ``__top`` is a struct of ``metres``, ``id`` and ``point`` (the row of ``points``); equal distances go to the smaller point
+    id. ``__crowd`` counts the distinct stated ``number`` within twice the distance found, at least five metres. All columns of
+    a spot are stated on both sides; ``own`` is the cell of a spot, ``around`` the cells from which a point can be met.
+
+    What is found depends on the spot only, so rows at one spot are answered once, and points at one spot stand as one. A
+    spot meets the points round it as one array a key and cell: no pair becomes a row, and none is shuffled.
+    """
+    spot = [key, "lat", "lon"]
+    places = points.groupBy(*spot).agg(F.min(F.struct(F.col("point_id").alias("id"), F.struct(*points.columns).alias("point"))).alias("first"), F.collect_set(number).alias("numbers"))
+    near = places.select(key, F.explode(around).alias("__cell"), F.struct("lat", "lon", "first", "numbers").alias("p")).groupBy(key, "__cell").agg(F.collect_list("p").alias("__near"))
+    # A stated number of partitions, as few bytes of spots can meet many points.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = rows.select(*spot).distinct().repartition(parts, *spot).withColumn("__cell", own)
+    away = F.transform("__near", lambda p: F.struct(haversine_m(F.col("lat"), F.col("lon"), p["lat"], p["lon"]).alias("metres"), p["first"]["id"].alias("id"), p["first"]["point"].alias("point"), p["numbers"].alias("numbers")))
+    reach = lambda t: F.greatest(F.lit(CROWD_FLOOR_M), CROWD_FACTOR * t["metres"])
+    crowd = lambda w, t: F.size(F.array_distinct(F.flatten(F.transform(F.filter(w, lambda a: a["metres"] <= reach(t)), lambda a: a["numbers"]))))
+    # Distances and their least are bound by lambdas: as columns they would be put into the filter and done anew for every point.
+    hits = lambda w: F.transform(F.filter(F.array(F.array_min(w)), lambda t: t["metres"] <= max_m), lambda t: F.struct(F.struct(t["metres"].alias("metres"), t["id"].alias("id"), t["point"].alias("point")).alias("top"), crowd(w, t).alias("crowd")))
+    found = spots.join(near, [key, "__cell"]).select(*spot, F.explode(F.flatten(F.transform(F.array(away), hits))).alias("hit"))
+    return found.select(*spot, F.col("hit.top").alias("__top"), F.col("hit.crowd").alias("__crowd"))
+
+
 def nearest_point(rows: DataFrame, points: DataFrame, key: str, max_m: float = MAX_M) -> DataFrame:
     """For each row (``id``, ``key``, ``lat``, ``lon``) the nearest point of its key within ``max_m`` and how crowded it is there.
 
     ``points`` has ``point_id``, ``key``, ``number``, ``lat``, ``lon``. ``candidates`` counts the distinct numbers within
     twice the distance found, at least five metres. Ties in distance go to the smaller point id.
     """
-    left = rows.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(key).isNotNull()).select("id", key, F.col("lat").alias("la"), F.col("lon").alias("lo"))
-    away = left.join(points.filter("lat IS NOT NULL AND lon IS NOT NULL"), key).withColumn("metres", haversine_m(F.col("la"), F.col("lo"), F.col("lat"), F.col("lon")))
+    stated = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(key).isNotNull()
+    known = points.filter(stated)
+    ids = rows.filter(stated).groupBy("id").agg(F.collect_set(F.struct(key, "lat", "lon")).alias("spots"))
+    left = ids.filter(F.size("spots") == 1).select("id", *[F.col("spots")[0][c].alias(c) for c in (key, "lat", "lon")])
+    # No two places are nearer than their latitudes, so bands as high as the farthest crowd reaches hold it, at any longitude.
+    band = F.floor(F.col("lat") / (1.001 * max(CROWD_FLOOR_M, CROWD_FACTOR * max_m) / (EARTH_M * radians(1))))
+    found = crowds(left, known, key, F.col("number"), band, F.array(band - 1, band, band + 1), max_m)
+    top = F.col("__top")
+    out = left.join(found, [key, "lat", "lon"]).select("id", top["id"].alias("point_id"), top["point"]["number"].alias("number"), top["metres"].alias("metres"), F.col("__crowd").cast("long").alias("candidates"))
+    return out.unionByName(_of_several(ids.filter(F.size("spots") > 1).select("id", F.explode("spots").alias("spot")), known, key, max_m))
+
+
+def _of_several(rows: DataFrame, points: DataFrame, key: str, max_m: float) -> DataFrame:
+    """``nearest_point`` of ids that stand at several spots (``id``, ``spot``), over the points of all of them."""
+    left = rows.select("id", F.col("spot")[key].alias(key), F.col("spot.lat").alias("la"), F.col("spot.lon").alias("lo"))
+    away = left.join(points, key).withColumn("metres", haversine_m(F.col("la"), F.col("lo"), F.col("lat"), F.col("lon")))
     low = away.withColumn("least", F.min("metres").over(Window.partitionBy("id"))).filter(F.col("least") <= max_m)
     reach = F.greatest(F.lit(CROWD_FLOOR_M), CROWD_FACTOR * F.col("least"))
     best = F.min(F.struct("metres", "point_id", "number")).alias("top")

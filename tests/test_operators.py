@@ -317,3 +317,12 @@ def test_nearest_point_of_an_id_at_several_spots(spark):
     rows = spark.createDataFrame([(1, "s", 50.0, 14.5), (1, "s", 50.0, 14.5), (2, "s", 50.0, 14.5), (2, "t", 50.001, 14.5), (3, "t", 50.0001, 14.5)], "id long, street string, lat double, lon double")
     got = {r.id: (r.point_id, r.candidates) for r in nearest.nearest_point(rows, points, "street").collect()}
     assert got == {1: (1, 1), 2: (1, 2), 3: (2, 1)}
+
+
+def test_crowds_of_one_key_are_counted_without_pairs(spark):
+    """Only the crowd is asked for, as ``crowd_count`` does: still no pairs, and the farthest of a crowd counts."""
+    points = spark.range(3000).selectExpr("id AS point_id", "'s' AS street", "id % 30 AS number", "50.0 + (id % 30) / 10000.0 AS lat", "14.5D AS lon")
+    rows = spark.range(3000).selectExpr("id", "'s' AS street", "50.0 - (id % 2) / 1000.0 AS lat", "14.5D AS lon")
+    df = nearest.nearest_point(rows, points, "street").select("id", "candidates")
+    assert {(r.id % 2, r.candidates) for r in df.collect()} == {(0, 1), (1, 11)}
+    assert most_joined(df) <= 3000

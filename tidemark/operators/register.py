@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.address import parse
-from tidemark.functions.geo import GRID_DEG, cell, cells_around, haversine_m
+from tidemark.functions.geo import GRID_DEG, cell, cells_around
 from tidemark.functions.text import blank_to_null, fold, street_key, strip_accents
 from tidemark.operators.match import staged
-from tidemark.operators.nearest import CROWD_FACTOR, CROWD_FLOOR_M, MAX_M
+from tidemark.operators.nearest import CROWD_FACTOR, MAX_M, crowds
 
 # Where a district or a coordinate was taken from.
 FROM_PORTAL, FROM_REGISTER, FROM_STREET, FROM_DONOR = "portal", "ruian", "ulice", "sreality"
@@ -53,25 +53,21 @@ def matched(rows: DataFrame, points: DataFrame, max_m: float = MAX_M) -> DataFra
     The struct holds the columns of ``MATCH`` and ``point``, the register's row. ``match_candidates`` counts the distinct
     house numbers within twice the distance found, at least five metres. Equal distances go to the smaller point id.
 
-    Points stand nine times, in cells as wide as the farthest crowd can reach, as one array a street and cell; so a row
-    meets the points round it and no others, a street of many rows is split by row, and nothing is shuffled again after.
+    Spots are met by ``nearest.crowds`` in cells as wide as the farthest crowd can reach: each spot of rows once, with the
+    spots of points round it; the rows then take what was found where they stand.
     """
     size = GRID_DEG * max(1.0, CROWD_FACTOR * max_m / 250.0)
     stated = points.filter("lat IS NOT NULL AND lon IS NOT NULL").withColumn("__street", _street(F.col("street"))).filter("__street IS NOT NULL")
-    near = stated.select("__street", F.explode(cells_around(F.col("lat"), F.col("lon"), size)).alias("__cell"), F.struct(*points.columns).alias("p"))
-    near = near.groupBy("__street", "__cell").agg(F.collect_list("p").alias("__near"))
+    keyed = rows.withColumn("__street", _street(F.col("street")))
     x, y = cell(F.col("lat"), F.col("lon"), size)
-    keyed = rows.withColumn("__street", _street(F.col("street"))).withColumn("__cell", F.struct(x.alias("x"), y.alias("y")))
-    away = F.transform("__near", lambda p: F.struct(haversine_m(F.col("lat"), F.col("lon"), p["lat"], p["lon"]).alias("metres"), p["point_id"].alias("id"), p.alias("point")))
-    reach = F.greatest(F.lit(CROWD_FLOOR_M), CROWD_FACTOR * F.col("__top.metres"))
-    crowd = F.size(F.array_distinct(F.transform(F.filter("__away", lambda a: a["metres"] <= reach), lambda a: F.coalesce(a["point"]["house_number"], F.lit("")))))
-    top = F.col("__top.point")
+    number = F.coalesce("house_number", F.lit(""))
+    found = crowds(keyed.filter("__street IS NOT NULL"), stated, "__street", number, F.struct(x.alias("x"), y.alias("y")), cells_around(F.col("lat"), F.col("lon"), size), max_m)
+    top = F.col("__top")["point"]
     match = F.struct(
         top["house_number"].alias("house_number"), orientation(top["orientation_number"], top["orientation_letter"]).alias("orientation_number"), top["number_kind"].alias("number_kind"), top["postcode"].alias("postcode"),
-        F.round("__top.metres", 1).alias("match_distance_m"), crowd.alias("match_candidates"), top.alias("point"),
+        F.round("__top.metres", 1).alias("match_distance_m"), F.col("__crowd").alias("match_candidates"), F.struct(*[top[c].alias(c) for c in points.columns]).alias("point"),
     )
-    out = keyed.join(near, ["__street", "__cell"], "left").withColumn("__away", away).withColumn("__top", F.array_min("__away"))
-    return out.select(*rows.columns, F.when(F.col("__top.metres") <= max_m, match).alias("match"))
+    return keyed.join(found, ["__street", "lat", "lon"], "left").select(*rows.columns, F.when(F.col("__top").isNotNull(), match).alias("match"))
 
 
 def _can_match() -> Column:

@@ -247,3 +247,15 @@ def test_a_street_of_many_copies_is_matched_once_a_spot(spark):
     got = register.matched(rows, points).select("id", "match.house_number", "match.match_candidates", "match.point.point_id").collect()
     assert time.time() - began < 60
     assert {(r.id % 4, r.point_id, r.match_candidates) for r in got} == {(0, "0", 7), (1, "1", 7), (2, "1", 7), (3, "1", 7)} and len(got) == 2000
+
+
+def test_a_backfill_of_many_copies_joins_no_points_to_rows(spark, monkeypatch):
+    """The register is searched for each spot of the listings, and every listing gets its spot's reason."""
+    met, real = [], register.crowds
+    monkeypatch.setattr(register, "crowds", lambda *a: met.append(real(*a)) or met[-1])
+    point = {c: F.lit(None).cast("string") for c in ("orientation_number", "orientation_letter", "number_kind", "postcode", "borough", "quarter")}
+    points = spark.range(500).select(F.col("id").cast("string").alias("point_id"), F.lit("S").alias("street"), F.lit("1").alias("house_number"), F.lit("D1").alias("district"), *[v.alias(k) for k, v in point.items()], F.lit(50.0).alias("lat"), F.lit(14.5).alias("lon"))
+    rows = spark.range(500).select("id", F.lit("s").alias("street"), F.when(F.col("id") % 4 > 0, 50.0 + (F.col("id") % 4) / 1000.0).alias("lat"), F.lit(14.5).alias("lon"), F.lit("").alias("district"), F.lit("portal").alias("district_origin"), F.lit("Praha").alias("municipality"), *[v.alias(k) for k, v in register.blank_match().items()])
+    got = {(r.id % 4, r.reason, r.district) for r in register.register_backfill(rows, points).collect()}
+    assert got == {(0, "no coordinates", "D1"), (1, "matched", "D1"), (2, "matched", "D1"), (3, "nearest point too far", "D1")}
+    assert met[-1].count() == 2

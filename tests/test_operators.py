@@ -1,9 +1,11 @@
 import datetime as dt
 import json
+import math
 import random
 import statistics
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -326,3 +328,46 @@ def test_crowds_of_one_key_are_counted_without_pairs(spark):
     df = nearest.nearest_point(rows, points, "street").select("id", "candidates")
     assert {(r.id % 2, r.candidates) for r in df.collect()} == {(0, 1), (1, 11)}
     assert most_joined(df) <= 3000
+
+
+def test_a_search_compares_few_places_of_a_spot(spark, monkeypatch):
+    """Of 400 places only those in reach are told apart by distance, block by block; results are those of all distances."""
+    rng = random.Random(7)
+    monkeypatch.setattr(nearest, "BLOCK", 16)
+    places = [(k, "s", k % 9, 50 + rng.random() / 10, 14 + rng.random() / 10) for k in range(400)]
+    spots = [(k, "s", 50 + rng.random() / 9, 14 + rng.random() / 9) for k in range(200)]
+    spots += [(200 + k, *places[k][1:2], *places[k][3:]) for k in range(9)]
+    points = spark.createDataFrame(places, "point_id long, street string, number long, lat double, lon double")
+    got = {r.id: (r.point_id, r.candidates) for r in nearest.nearest_point(spark.createDataFrame(spots, "id long, street string, lat double, lon double"), points, "street", 600.0).collect()}
+    want = {}
+    for k, _, lat, lon in spots:
+        away = sorted((metres(lat, lon, y, x), i, n) for i, _, n, y, x in places)
+        if away[0][0] <= 600:
+            want[k] = (away[0][1], len({n for m, _, n in away if m <= max(5, 2 * away[0][0])}))
+    assert got == want and 100 < len(want) < 209
+    sides = [np.array(c) for c in (*zip(*[s[2:] for s in spots]), *zip(*[p[3:] for p in places]))]
+    counts, which = nearest.reached(*sides, 600.0)
+    assert len(counts) == 209 and counts.sum() == len(which) < 209 * 12
+    assert {k for k, n in enumerate(counts) if n} == set(want)
+
+
+def metres(a, b, c, d):
+    h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * 6371000 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+
+def test_reach_of_odd_coordinates():
+    """Ends of the Earth, its date line, turns of longitude and coordinates that are no numbers; a reach is at least five metres."""
+    nan, inf = float("nan"), float("inf")
+    lat, lon = np.array([90.0, 50.0, -90.0, nan, 50.0, 50.0, 0.0]), np.array([7.0, 179.99999, 3.0, 14.0, inf, 374.0, 0.0])
+    p_lat, p_lon = np.array([90.0, 50.0, nan, 50.0, 50.00004, 50.0, 50.00006]), np.array([-100.0, -179.99999, 14.0, inf, 14.0, 14.0, 14.0])
+    counts, which = nearest.reached(lat, lon, p_lat, p_lon, 250.0)
+    assert counts.tolist() == [1, 1, 0, 0, 0, 2, 0] and which.tolist() == [0, 1, 4, 5]
+    assert nearest.reached(np.array([0.0]), np.array([0.0]), np.array([0.0, 0.0]), np.array([179.9, 180.0]), 2.1e7)[0].tolist() == [2]
+    assert nearest.reached(np.array([0.0]), np.array([0.0]), np.array([0.0]), np.array([0.0]), 250.0)[0].tolist() == [1]
+
+
+def test_an_id_that_is_null_stands_at_all_its_spots(spark):
+    points = spark.createDataFrame([(1, "s", 1, 50.0, 14.5), (2, "t", 2, 50.0, 14.5)], "point_id long, street string, number long, lat double, lon double")
+    rows = spark.createDataFrame([(None, "s", 50.0, 14.5), (None, "t", 50.0, 14.5), (1, "s", 50.0, 14.5)], "id long, street string, lat double, lon double")
+    assert sorted((r.id or 0, r.point_id, r.candidates) for r in nearest.nearest_point(rows, points, "street").collect()) == [(0, 1, 2), (1, 1, 1)]

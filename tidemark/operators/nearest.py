@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import radians
+from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +17,60 @@ from tidemark.functions.geo import EARTH_M, haversine_m
 MAX_M = 250.0
 CROWD_FLOOR_M = 5.0
 CROWD_FACTOR = 2.0
+#: Spots that meet their places at once, about; and what a squared chord errs by at most.
+BLOCK = 256
+SLACK = 1e-14
+
+
+def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    la, lo = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)])
+
+
+def _arc(chord2: np.ndarray) -> np.ndarray:
+    """Metres on the Earth of squared chords of the unit sphere."""
+    return 2 * EARTH_M * np.arcsin(np.sqrt(np.clip(chord2, 0.0, 4.0)) / 2)
+
+
+def reached(lat: np.ndarray, lon: np.ndarray, p_lat: np.ndarray, p_lon: np.ndarray, max_m: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many places each spot has within its reach, and which, spot after spot; none for a spot without a place within ``max_m``.
+
+    Never a place too few, and hardly one too many: products of unit vectors tell, with ``SLACK`` allowed for their rounding.
+    """
+    with np.errstate(invalid="ignore"):
+        spots, places = _unit(lat, lon).T, _unit(p_lat, p_lon)
+        counts, which = [], []
+        step = max(1, (1 << 16) // max(1, len(p_lat)))
+        for k in range(0, len(lat), step):
+            near = spots[k : k + step] @ places
+            least = 2 - 2 * np.fmax.reduce(near, axis=1)
+            reach = np.maximum(CROWD_FLOOR_M, CROWD_FACTOR * _arc(least + SLACK))
+            # Far round the Earth chords hardly tell distances, so all places are taken there.
+            limit = np.where(reach < 3 * EARTH_M, (2 * np.sin(np.minimum(reach / (2 * EARTH_M), 1.5))) ** 2 * 1.000001 + SLACK, np.inf)
+            low = _arc(least * 0.999999 - SLACK)
+            limit[~((low <= max_m) | (low > 2.9 * EARTH_M))] = -np.inf
+            found = near >= (1 - limit / 2)[:, None]
+            counts.append(found.sum(axis=1))
+            which.append(np.nonzero(found)[1])
+    return np.concatenate(counts), np.concatenate(which)
+
+
+def _in_reach(max_m: float):
+    """``reached`` for rows of arrays: a row's spots and its places give an array of places (from 0) a spot."""
+
+    def run(lat: pa.Array, lon: pa.Array, p_lat: pa.Array, p_lon: pa.Array) -> pa.Array:
+        counts, which = [np.zeros(0, "int64")], [np.zeros(0, "int64")]
+        for row in zip(lat, lon, p_lat, p_lon):
+            n, at = reached(*[c.values.to_numpy(zero_copy_only=False) for c in row], max_m)
+            counts.append(n)
+            which.append(at)
+        ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        each = pa.ListArray.from_arrays(ends(np.concatenate(counts)), pa.array(np.concatenate(which), pa.int32()))
+        return pa.ListArray.from_arrays(ends([len(n) for n in counts[1:]]), each)
+
+    # Stated as objects, as the annotations above are strings to a worker.
+    run.__annotations__ = dict.fromkeys(("lat", "lon", "p_lat", "p_lon", "return"), pa.Array)
+    return F.arrow_udf(run, "array<array<int>>")
 
 
 def crowds(rows: DataFrame, points: DataFrame, key: str, number: Column, own: Column, around: Column, max_m: float) -> DataFrame:
@@ -22,22 +80,38 @@ def crowds(rows: DataFrame, points: DataFrame, key: str, number: Column, own: Co
     id. ``__crowd`` counts the distinct stated ``number`` within twice the distance found, at least five metres. All columns of
     a spot are stated on both sides; ``own`` is the cell of a spot, ``around`` the cells from which a point can be met.
 
-    What is found depends on the spot only, so rows at one spot are answered once, and points at one spot stand as one. A
-    spot meets the points round it as one array a key and cell: no pair becomes a row, and none is shuffled.
+    What is found depends on the spot only, so rows at one spot are answered once, and points at one spot stand as one. Spots
+    of a key and cell meet the places round them block by block, as arrays: no pair becomes a row, and none is shuffled.
+    ``reached`` finds the few places of a spot that can count; only for these the distance is computed as everywhere else.
     """
-    spot = [key, "lat", "lon"]
-    places = points.groupBy(*spot).agg(F.min(F.struct(F.col("point_id").alias("id"), F.struct(*points.columns).alias("point"))).alias("first"), F.collect_set(number).alias("numbers"))
-    near = places.select(key, F.explode(around).alias("__cell"), F.struct("lat", "lon", "first", "numbers").alias("p")).groupBy(key, "__cell").agg(F.collect_list("p").alias("__near"))
-    # A stated number of partitions, as few bytes of spots can meet many points.
+    spot, group = [key, "lat", "lon"], [key, "__cell"]
+    places = points.groupBy(*spot).agg(F.min("point_id").alias("id"), F.collect_set(number).alias("numbers"))
+    near = places.select(key, F.explode(around).alias("__cell"), F.struct("lat", "lon", "id", "numbers").alias("p")).groupBy(*group).agg(F.collect_list("p").alias("__near"))
+    # A group's blocks are dealt to as many tasks as there are, each with the group's places once.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spots = rows.select(*spot).distinct().repartition(parts, *spot).withColumn("__cell", own)
-    away = F.transform("__near", lambda p: F.struct(haversine_m(F.col("lat"), F.col("lon"), p["lat"], p["lon"]).alias("metres"), p["first"]["id"].alias("id"), p["first"]["point"].alias("point"), p["numbers"].alias("numbers")))
+    spots = rows.select(*spot).distinct().withColumn("__cell", own)
+    sizes = spots.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("__blocks"))
+    deal = F.pmod("__block", F.least(F.lit(parts), "__blocks"))
+    blocks = spots.join(sizes, group).withColumn("__block", F.pmod(F.xxhash64("lat", "lon"), "__blocks")).withColumn("__deal", deal)
+    blocks = blocks.repartition(parts, *group, "__deal").groupBy(*group, "__deal", "__block").agg(F.collect_list(F.struct("lat", "lon")).alias("__spots"))
+    near = near.join(sizes, group).withColumn("__deal", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(parts), "__blocks") - 1)))
+    met = blocks.join(near, [*group, "__deal"]).withColumn("__in", _in_reach(max_m)(*[F.col(f"{side}.{c}").cast("array<double>") for side in ("__spots", "__near") for c in ("lat", "lon")]))
+
+    away = lambda s: F.transform(s["__in"], lambda i: _away(s["__spots"], F.get("__near", i)))
     reach = lambda t: F.greatest(F.lit(CROWD_FLOOR_M), CROWD_FACTOR * t["metres"])
     crowd = lambda w, t: F.size(F.array_distinct(F.flatten(F.transform(F.filter(w, lambda a: a["metres"] <= reach(t)), lambda a: a["numbers"]))))
     # Distances and their least are bound by lambdas: as columns they would be put into the filter and done anew for every point.
-    hits = lambda w: F.transform(F.filter(F.array(F.array_min(w)), lambda t: t["metres"] <= max_m), lambda t: F.struct(F.struct(t["metres"].alias("metres"), t["id"].alias("id"), t["point"].alias("point")).alias("top"), crowd(w, t).alias("crowd")))
-    found = spots.join(near, [key, "__cell"]).select(*spot, F.explode(F.flatten(F.transform(F.array(away), hits))).alias("hit"))
-    return found.select(*spot, F.col("hit.top").alias("__top"), F.col("hit.crowd").alias("__crowd"))
+    hits = lambda s, w: F.transform(F.filter(F.array(F.array_min(w)), lambda t: t["metres"] <= max_m), lambda t: F.struct(s["__spots"]["lat"].alias("lat"), s["__spots"]["lon"].alias("lon"), t.alias("top"), crowd(w, t).alias("crowd")))
+    each = F.flatten(F.transform(F.arrays_zip("__spots", "__in"), lambda s: F.flatten(F.transform(F.array(away(s)), lambda w: hits(s, w)))))
+    found = met.select(key, F.explode(each).alias("hit")).select(key, "hit.*")
+    firsts = points.groupBy(*spot).agg(F.min(F.struct(F.col("point_id").alias("id"), F.struct(*points.columns).alias("point"))).alias("first"))
+    firsts = firsts.select(key, F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), "first")
+    named = found.withColumns({"__lat": F.col("top.lat"), "__lon": F.col("top.lon")}).join(firsts, [key, "__lat", "__lon"])
+    return named.select(*spot, F.struct("top.metres", "top.id", "first.point").alias("__top"), F.col("crowd").alias("__crowd"))
+
+
+def _away(s: Column, p: Column) -> Column:
+    return F.struct(haversine_m(s["lat"], s["lon"], p["lat"], p["lon"]).alias("metres"), p["id"].alias("id"), p["lat"].alias("lat"), p["lon"].alias("lon"), p["numbers"].alias("numbers"))
 
 
 def nearest_point(rows: DataFrame, points: DataFrame, key: str, max_m: float = MAX_M) -> DataFrame:
@@ -47,15 +121,19 @@ def nearest_point(rows: DataFrame, points: DataFrame, key: str, max_m: float = M
     twice the distance found, at least five metres. Ties in distance go to the smaller point id.
     """
     stated = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(key).isNotNull()
-    known = points.filter(stated)
-    ids = rows.filter(stated).groupBy("id").agg(F.collect_set(F.struct(key, "lat", "lon")).alias("spots"))
-    left = ids.filter(F.size("spots") == 1).select("id", *[F.col("spots")[0][c].alias(c) for c in (key, "lat", "lon")])
+    known, placed, spot = points.filter(stated), rows.filter(stated).select("id", key, "lat", "lon"), [key, "lat", "lon"]
+    # An id stands at one spot if its least and greatest agree: numbers are kept in hashed rows, where sets of spots are sorted.
+    ids = placed.groupBy("id").agg(*[f(c).alias(f"{n}_{c}") for c in spot for n, f in (("low", F.min), ("high", F.max))])
+    alone = reduce(and_, [F.col(f"low_{c}") == F.col(f"high_{c}") for c in spot])
+    left = ids.filter(alone).select("id", *[F.col(f"low_{c}").alias(c) for c in spot])
+    many = ids.filter(~alone).select(F.col("id").alias("__id"))
+    several = placed.join(many, F.col("id").eqNullSafe(F.col("__id")), "left_semi").distinct().select("id", F.struct(*spot).alias("spot"))
     # No two places are nearer than their latitudes, so bands as high as the farthest crowd reaches hold it, at any longitude.
     band = F.floor(F.col("lat") / (1.001 * max(CROWD_FLOOR_M, CROWD_FACTOR * max_m) / (EARTH_M * radians(1))))
     found = crowds(left, known, key, F.col("number"), band, F.array(band - 1, band, band + 1), max_m)
     top = F.col("__top")
-    out = left.join(found, [key, "lat", "lon"]).select("id", top["id"].alias("point_id"), top["point"]["number"].alias("number"), top["metres"].alias("metres"), F.col("__crowd").cast("long").alias("candidates"))
-    return out.unionByName(_of_several(ids.filter(F.size("spots") > 1).select("id", F.explode("spots").alias("spot")), known, key, max_m))
+    out = left.join(found, spot).select("id", top["id"].alias("point_id"), top["point"]["number"].alias("number"), top["metres"].alias("metres"), F.col("__crowd").cast("long").alias("candidates"))
+    return out.unionByName(_of_several(several, known, key, max_m))
 
 
 def _of_several(rows: DataFrame, points: DataFrame, key: str, max_m: float) -> DataFrame:

@@ -258,3 +258,27 @@ def test_a_backfill_of_many_copies_joins_no_points_to_rows(spark, monkeypatch):
     got = {(r.id % 4, r.reason, r.district) for r in register.register_backfill(rows, points).collect()}
     assert got == {(0, "no coordinates", "D1"), (1, "matched", "D1"), (2, "matched", "D1"), (3, "nearest point too far", "D1")}
     assert met[-1].count() == 2
+
+
+def test_a_backfill_searches_once_and_puts_a_match_together_once_a_spot(spark, monkeypatch):
+    """One search, also for the rows without a street; names of the register are folded where a point is, not for each row."""
+    met, real = [], register.crowds
+    monkeypatch.setattr(register, "crowds", lambda *a: met.append(a) or real(*a))
+    register_points = points(spark, {"point_id": "1", "street": "Dlouhá", "house_number": "1", "district": "Staré Město", "borough": "Praha 1", "lat": 50.09, "lon": 14.42}, {"point_id": "2", "street": "Krátká", "house_number": "2", "district": " ", "quarter": "Žižkov", "lat": 50.09, "lon": 14.42})
+    rows = listings(
+        spark,
+        {"internal_id": "a", "street": "DLOUHA", "district": "stare mesto", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "b", "street": "dlouhá", "district": "PRAHA 1", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "c", "street": "Kratka", "district": "zizkov", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "d", "street": "Kratka", "district": "Karlin", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "e", "street": "Kratka", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "f", "street": " \\u0301 ", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "g", "lat": 50.09, "lon": 14.42},
+        {"internal_id": "h", "street": "Dlouha", "municipality": "Praha"},
+    )
+    out = register.register_backfill(rows, register_points)
+    got = by_id(out)
+    assert {k: r.district_check for k, r in got.items()} == {"a": "agrees", "b": "agrees", "c": "agrees", "d": "disagrees", "e": "portal named no district", "f": None, "g": None, "h": None}
+    assert {k: r.reason for k, r in got.items()} == dict.fromkeys("abcde", "matched") | {"f": "street not in the register", "g": "no street", "h": "no coordinates"}
+    assert got["h"].district == "Stare Mesto" and got["e"].district is None and out.columns[: len(rows.columns)] == rows.columns
+    assert len(met) == 1 and {"__plain", "__spelled"} <= set(met[0][1].columns)

@@ -56,9 +56,13 @@ def matched(rows: DataFrame, points: DataFrame, max_m: float = MAX_M) -> DataFra
     Spots are met by ``nearest.crowds`` in cells as wide as the farthest crowd can reach: each spot of rows once, with the
     spots of points round it; the rows then take what was found where they stand.
     """
+    return _matched(rows.withColumn("__street", _street(F.col("street"))), points, max_m).select(*rows.columns, "match")
+
+
+def _matched(keyed: DataFrame, points: DataFrame, max_m: float) -> DataFrame:
+    """``matched`` for rows with ``__street``. A match is put together where a spot is, not for each of its rows."""
     size = GRID_DEG * max(1.0, CROWD_FACTOR * max_m / 250.0)
     stated = points.filter("lat IS NOT NULL AND lon IS NOT NULL").withColumn("__street", _street(F.col("street"))).filter("__street IS NOT NULL")
-    keyed = rows.withColumn("__street", _street(F.col("street")))
     x, y = cell(F.col("lat"), F.col("lon"), size)
     number = F.coalesce("house_number", F.lit(""))
     found = crowds(keyed.filter("__street IS NOT NULL"), stated, "__street", number, F.struct(x.alias("x"), y.alias("y")), cells_around(F.col("lat"), F.col("lon"), size), max_m)
@@ -67,7 +71,8 @@ def matched(rows: DataFrame, points: DataFrame, max_m: float = MAX_M) -> DataFra
         top["house_number"].alias("house_number"), orientation(top["orientation_number"], top["orientation_letter"]).alias("orientation_number"), top["number_kind"].alias("number_kind"), top["postcode"].alias("postcode"),
         F.round("__top.metres", 1).alias("match_distance_m"), F.col("__crowd").alias("match_candidates"), F.struct(*[top[c].alias(c) for c in points.columns]).alias("point"),
     )
-    return keyed.join(found, ["__street", "lat", "lon"], "left").select(*rows.columns, F.when(F.col("__top").isNotNull(), match).alias("match"))
+    spot = ["__street", "lat", "lon"]
+    return keyed.join(found.select(*spot, match.alias("match")), spot, "left").select(*keyed.columns, "match")
 
 
 def _can_match() -> Column:
@@ -90,25 +95,27 @@ def register_backfill(listings: DataFrame, points: DataFrame, max_m: float = MAX
     ``district_reason`` (null if nothing was tried); ``district_check``, whether the register agrees with a district that
     the portal named; ``changed``.
     """
-    can = _can_match()
-    none = matched(listings.limit(0), points, max_m).schema["match"].dataType
-    rows = matched(listings.filter(can), points, max_m).unionByName(listings.filter(~can).withColumn("match", F.lit(None).cast(none)))
-    key, district = _street(F.col("street")).alias("__street"), blank_to_null(F.col("district"))
-    streets = points.select(key, district.alias("d")).filter("__street IS NOT NULL").groupBy("__street").agg(F.min("d").alias("__low"), F.max("d").alias("__high"))
-    # Without a street a row has no key to join by.
-    named = rows.filter(_street(F.col("street")).isNotNull()).withColumn("__street", key).join(streets.withColumn("__known", F.lit(True)), "__street", "left").drop("__street")
-    unnamed = rows.filter(_street(F.col("street")).isNull()).withColumns({"__low": F.lit(None).cast("string"), "__high": F.lit(None).cast("string"), "__known": F.lit(None).cast("boolean")})
+    district, spelled = blank_to_null(F.col("district")), F.array(*[fold(F.col(c), "letters") for c in ("district", "borough", "quarter")])
+    keyed, named_points = listings.withColumn("__street", _street(F.col("street"))), points.withColumns({"__plain": blank_to_null(strip_accents(F.col("district"))), "__spelled": spelled})
+    # Without a street a row has no key to join by; parted before the search, so that rows are searched for once.
+    key = F.col("__street")
+    can = _can_match() & key.isNotNull()
+    hits = _matched(keyed.filter(can), named_points, max_m)
+    rest = keyed.filter(~can).withColumn("match", F.lit(None).cast(hits.schema["match"].dataType))
+    streets = points.select(_street(F.col("street")).alias("__street"), district.alias("d")).filter("__street IS NOT NULL").groupBy("__street").agg(F.min("d").alias("__low"), F.max("d").alias("__high"))
+    named = hits.unionByName(rest.filter(key.isNotNull())).join(streets.withColumn("__known", F.lit(True)), "__street", "left")
+    unnamed = rest.filter(key.isNull()).withColumns({"__low": F.lit(None).cast("string"), "__high": F.lit(None).cast("string"), "__known": F.lit(None).cast("boolean")})
     all_rows = named.unionByName(unnamed)
 
     hit, stated = F.col("match").isNotNull(), blank_to_null(F.col("district"))
-    by_point = F.when(hit, blank_to_null(strip_accents(F.col("match.point.district"))))
+    by_point = F.when(hit, F.col("match.point.__plain"))
     in_city = F.coalesce(F.trim("municipality") == CITY, F.lit(False))
     by_street = F.when(~hit & in_city & (F.col("__low") == F.col("__high")), strip_accents(F.col("__low")))
     filled = stated.isNull() & F.coalesce(by_point, by_street).isNotNull()
     reason = F.when(hit, "matched").when(F.col("lat").isNull() | F.col("lon").isNull(), "no coordinates").when(blank_to_null(F.col("street")).isNull(), "no street").when(F.col("__known"), "nearest point too far").otherwise("street not in the register")
     why = F.when(stated.isNotNull(), F.lit(None).cast("string")).when(by_point.isNotNull(), "from the register").when(hit, F.lit(None).cast("string")).when(~in_city, "outside the register's city").when(by_street.isNotNull(), "from the street")
     same = fold(stated, "letters")
-    agrees = F.coalesce(*[F.nullif(fold(F.col(f"match.point.{c}"), "letters") == same, F.lit(False)) for c in ("district", "borough", "quarter")], F.lit(False))
+    agrees = F.coalesce(F.array_contains("match.point.__spelled", same), F.lit(False))
     check = F.when(hit, F.when(~F.coalesce(F.col("district_origin"), F.lit("")).isin("", FROM_PORTAL), "not the portal's district").when(stated.isNull(), "portal named no district").when(agrees, "agrees").otherwise("disagrees"))
     differs = F.lit(False)
     for c, t in MATCH.items():

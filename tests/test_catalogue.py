@@ -96,3 +96,16 @@ def test_copies_of_parts_make_no_pairs(spark, tmp_path, monkeypatch):
     got = {r.id: r.component for r in catalogue.QUERIES["components"](spark, str(tmp_path)).collect()}
     assert len(got) == 800 and all(got[i] == {0: 0, 3: 0, 6: 6, 9: i}[i % 120] for i in got if i != 9) and got[9] == 0
     assert made[0] <= 10
+
+
+def test_different_parts_of_a_street_make_no_pairs(spark, tmp_path, monkeypatch):
+    """Parts that all differ are linked without a row for each matching pair."""
+    rows = [(k, f"w{k % 7} y", "b", "t", k % 40, 900.0 + k / 10) for k in range(600)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    made, real = [], catalogue.cluster.components
+    monkeypatch.setattr(catalogue.cluster, "components", lambda nodes, edges: made.append(edges.count()) or real(nodes, edges))
+    got = catalogue.QUERIES["components"](spark, str(tmp_path)).collect()
+    edges = catalogue._edges(spark, str(tmp_path))
+    want = {r.id: r.component for r in real(spark.createDataFrame([(r[0],) for r in rows], "id long"), edges).collect()}
+    assert len(got) == 600 and {r.id: r.component for r in got} == want and edges.count() > 10_000
+    assert sum(made) < 600

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tidemark.operators import cluster, events, health, inventory, market, match, merge, nearest, quality, spans, views
+from tidemark.operators import cluster, events, health, inventory, linked, market, match, merge, nearest, quality, spans, views
 
 D = dt.date
 
@@ -371,3 +371,28 @@ def test_an_id_that_is_null_stands_at_all_its_spots(spark):
     points = spark.createDataFrame([(1, "s", 1, 50.0, 14.5), (2, "t", 2, 50.0, 14.5)], "point_id long, street string, number long, lat double, lon double")
     rows = spark.createDataFrame([(None, "s", 50.0, 14.5), (None, "t", 50.0, 14.5), (1, "s", 50.0, 14.5)], "id long, street string, lat double, lon double")
     assert sorted((r.id or 0, r.point_id, r.candidates) for r in nearest.nearest_point(rows, points, "street").collect()) == [(0, 1, 2), (1, 1, 1)]
+
+
+def linked_rows(n, seed):
+    """Rows of few values, near the limits of distance, area and price, with nulls, zeros, NaN, repeated ids and several prices and places."""
+    rng, step = random.Random(seed), math.degrees(25.0 / 6_371_000.0)
+    spot = lambda: rng.choice([None, 0.0, step, step * (1 + 1e-13), step * (1 - 1e-13), 2.4 * step, 8 * step, 8 * step * (1 + 1e-9), 30 * step, math.nan])
+    prices = lambda: rng.choice([None, [], [rng.choice([100.0, 105.0, 106.0, 200.0, 210.6, 0.0, -5.0, None, math.nan, math.inf]) for _ in range(rng.choice([1, 1, 1, 3]))]])
+    places = lambda: rng.choice([None, [], [rng.choice(["x", "y", "z", "", None]) for _ in range(rng.choice([1, 1, 2]))]])
+    for _ in range(n):
+        k, up, price = rng.randrange(2 * n), spot(), rng.choice([[100.0], prices()])
+        yield (rng.choice([k, k, k, k, None]), rng.choice(["s", "s", "s", "t", None]), rng.choice(["a", "a", "a", "b", None]), "d", rng.choice(["2+1", "2+1", " 2+1 ", "other", None]), rng.choice([50.0, 51.0, 54.0, 60.0, 71.0, 5.0, 0.0, None, math.nan, math.inf]), up, None if up is None else rng.choice([14.0, 14.0, 14.0, None]), places(), price)
+
+
+def test_linked_equals_components_of_all_pairs(spark, monkeypatch):
+    """However blocks are cut, and whatever is left to the rule's own expression."""
+    read = "internal_id long, street string, property_type string, transaction_type string, disposition string, area_m2 double, lat double, lon double, places array<string>, prices array<double>"
+    for seed, block, cells, slack in ((1, 8192, 1 << 16, 1e-7), (2, 7, 3, 1e-7), (3, 8192, 50, 0.3), (4, 5, 1, 0.3)):
+        for name, value in {"BLOCK": block, "CELLS": cells}.items():
+            monkeypatch.setattr(linked, name, value)
+        rows = spark.createDataFrame(list(linked_rows(400, seed)), read).cache()
+        pairs = match.street_pairs(rows, most=1 << 30).filter(match.confidence(match._side("a"), match._side("b"), overlap=False, price_rel_pct=5.0).isNotNull())
+        edges = pairs.select(F.col("a.internal_id").alias("a"), F.col("b.internal_id").alias("b"))
+        want = {r.id: r.component for r in cluster.components(rows.select(F.col("internal_id").alias("id")), edges).collect()}
+        got = cluster.joined(linked.linked(rows, 5.0, slack)).collect()
+        assert len(got) == len(want) and {r.id: r.component for r in got} == want and len(set(want.values())) < len(want) - 20

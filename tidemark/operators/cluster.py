@@ -40,6 +40,21 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(told: DataFrame) -> DataFrame:
+    """(``id``, ``label``) -> (``id``, ``component``): the smallest label of the component of ids that share labels.
+
+    Only ids of several labels join labels, so only these go in rounds.
+    """
+    told = saved(told)
+    ids = saved(told.groupBy("id").agg(F.min("label").alias("low"), F.max("label").alias("high")))
+    several = ids.filter("low < high")
+    if several.isEmpty():
+        return ids.select("id", F.col("low").alias("component"))
+    edges = saved(told.join(several, "id").filter("low < label").select(F.col("low").alias("a"), F.col("label").alias("b")).distinct())
+    found = components(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), edges)
+    return ids.join(found.withColumnRenamed("id", "low"), "low", "left").select("id", F.coalesce("component", "low").alias("component"))
+
+
 def property_keys(listings: DataFrame) -> DataFrame:
     """``internal_id`` -> ``property_key`` over duplicate clusters and re-listing links whose target exists."""
     ids = listings.select(F.col("internal_id").alias("id"))
